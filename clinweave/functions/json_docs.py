@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,33 +16,42 @@ def _members(text: Column) -> Column:
     return F.from_json(text, VARIANT_MAP)
 
 
-def _is_object(v: Column) -> Column:
-    return F.schema_of_variant(v).startswith("OBJECT")
+def _bind(body: Callable[[Column], Column], **values: Column) -> Column:
+    """`body` over a struct of the values, each computed once however often `body` uses it."""
+    row = F.struct(*[v.alias(name) for name, v in values.items()])
+    return F.element_at(F.transform(F.array(row), body), 1)
+
+
+def _is_object(text: Column) -> Column:
+    return text.startswith("{")
 
 
-def _without_nulls(v: Column, depth: int) -> Column:
-    """A patch value without null members, down to `depth` object levels."""
+def _without_nulls(text: Column, depth: int) -> Column:
+    """A patch value (JSON text) without null members, down to `depth` object levels; as a variant."""
     if depth == 0:
-        return v
-    kept = F.map_filter(_members(F.to_json(v)), lambda _, m: ~F.is_variant_null(m))
-    kept = F.transform_values(kept, lambda _, m: _without_nulls(m, depth - 1))
-    return F.when(_is_object(v), F.parse_json(F.to_json(kept))).otherwise(v)
+        return F.parse_json(text)
+    kept = F.map_filter(_members(text), lambda _, m: ~F.is_variant_null(m))
+    kept = F.transform_values(kept, lambda _, m: _without_nulls(F.to_json(m), depth - 1))
+    return F.when(_is_object(text), F.parse_json(F.to_json(kept))).otherwise(F.parse_json(text))
 
 
 def _merge(left: Column, right: Column, depth: int) -> Column:
-    kept = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
-    live = F.map_filter(right, lambda _, v: ~F.is_variant_null(v))
+    def members(r: Column) -> Column:
+        kept = F.map_filter(r["left"], lambda k, _: ~F.map_contains_key(r["right"], k))
+        live = F.map_filter(r["right"], lambda _, v: ~F.is_variant_null(v))
+        return F.map_concat(kept, F.transform_values(live, lambda k, v: member(F.try_element_at(r["left"], k), v)))
 
-    def member(k: Column, v: Column) -> Column:
-        plain = _without_nulls(v, depth)
+    def member(old: Column, new: Column) -> Column:
         if depth == 0:
-            return plain
-        old = F.element_at(left, k)
-        merged = _merge(_members(F.to_json(old)), _members(F.to_json(v)), depth - 1)
-        both = old.isNotNull() & _is_object(old) & _is_object(v)
-        return F.when(both, F.parse_json(F.to_json(merged))).otherwise(plain)
+            return _without_nulls(F.to_json(new), 0)
+        return _bind(merged, old=F.to_json(old), new=F.to_json(new))
 
-    return F.map_concat(kept, F.transform_values(live, member))
+    def merged(r: Column) -> Column:
+        both = F.coalesce(_is_object(r["old"]), F.lit(False)) & _is_object(r["new"])
+        deeper = _merge(_members(r["old"]), _members(r["new"]), depth - 1)
+        return F.when(both, F.parse_json(F.to_json(deeper))).otherwise(_without_nulls(r["new"], depth))
+
+    return _bind(members, left=left, right=right)
 
 
 def json_merge_patch(left: Column | str, right: Column | str, depth: int = 2) -> Column:
@@ -67,18 +78,22 @@ TAGS = "array<struct<system:string,code:string,display:string>>"
 def tag_source(resource: Column | str, system: str, code: str) -> Column:
     """DL4: the document with the provenance tag in meta.tag; unchanged when the tag is there already."""
     text = col_of(resource)
-    doc = _members(text)
-    meta = F.coalesce(_members(F.to_json(F.element_at(doc, F.lit("meta")))), F.expr(f"cast(map() as {VARIANT_MAP})"))
-    raw = F.coalesce(
-        F.from_json(F.to_json(F.element_at(meta, F.lit("tag"))), "array<variant>"),
-        F.expr("cast(array() as array<variant>)"),
-    )
-    tags = F.coalesce(F.from_json(F.get_json_object(text, "$.meta.tag"), TAGS), F.expr(f"cast(array() as {TAGS})"))
+    tags = F.from_json(F.get_json_object(text, "$.meta.tag"), TAGS)
     tagged = F.exists(tags, lambda t: (t["system"] == system) & (t["code"] == code))
     stamp = F.parse_json(F.to_json(F.struct(F.lit(system).alias("system"), F.lit(code).alias("code"))))
-    new_tags = F.parse_json(F.to_json(F.concat(raw, F.array(stamp))))
-    new_meta = F.parse_json(F.to_json(with_member(meta, "tag", new_tags)))
-    return F.when(tagged, text).otherwise(F.to_json(with_member(doc, "meta", new_meta)))
+    no_meta, no_tags = F.expr(f"cast(map() as {VARIANT_MAP})"), F.expr("cast(array() as array<variant>)")
+
+    def of_doc(d: Column) -> Column:
+        meta = F.coalesce(_members(F.to_json(F.try_element_at(d["doc"], F.lit("meta")))), no_meta)
+        return with_member(d["doc"], "meta", _bind(of_meta, meta=meta))
+
+    def of_meta(m: Column) -> Column:
+        listed = F.from_json(F.to_json(F.try_element_at(m["meta"], F.lit("tag"))), "array<variant>")
+        tag = F.parse_json(F.to_json(F.concat(F.coalesce(listed, no_tags), F.array(stamp))))
+        return F.parse_json(F.to_json(with_member(m["meta"], "tag", tag)))
+
+    stamped = F.to_json(_bind(of_doc, doc=_members(text)))
+    return F.when(F.coalesce(tagged, F.lit(False)), text).otherwise(stamped)
 
 
 def with_member(doc: Column, name: str, value: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clinweave.operators.quality import fanout, not_null, observation_has_subject, patient_has_identifier, valid_fhir_id
 from clinweave.operators.upsert import dedup, newest_first
 from clinweave.plans.models import MODELS, to_table
+from clinweave.session import in_parallel
 from clinweave.settings import Settings
 from clinweave.sources.snapshots import Store
 
@@ -18,7 +19,8 @@ KEY = ("fhir_id",)
 
 def one_per_key(df: DataFrame, grain: Sequence[str]) -> DataFrame:
     """MT3: sites that share a uuid collide on the id (T13); the latest change wins, then the lowest grain."""
-    return dedup(df, KEY, [newest_first(), *grain, "resource"])
+    owner = [c for c in ("patient_fhir_id",) if c in df.columns]
+    return dedup(df, KEY, [newest_first(), *grain, *owner, "resource"])
 
 
 def materialize(store: Store, name: str, df: DataFrame, s: Settings) -> DataFrame:
@@ -39,7 +41,8 @@ def materialize(store: Store, name: str, df: DataFrame, s: Settings) -> DataFram
 def transform(t: Mapping[str, DataFrame], store: Store, s: Settings) -> dict[str, DataFrame]:
     """The patient model and the configured views. They read only sources and the seed, never each other."""
     names = [n for n in MODELS if n == "patient" or n in (*s.clinical_views, *s.global_views)]
-    return {name: materialize(store, name, MODELS[name].build(t, s), s) for name in names}
+    built = in_parallel(lambda name: materialize(store, name, MODELS[name].build(t, s), s), names, s.parallel)
+    return dict(zip(names, built, strict=True))
 
 
 def views_of(store: Store) -> dict[str, DataFrame]:

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 SESSION_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
+    # Plans here have hundreds of columns; recording the Python line of each costs more than planning them.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # One patient, site or concept may own a large share of the rows; let the join split it even where
@@ -54,3 +58,9 @@ def settle(df, eager: bool = True):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(spark))
     return df.checkpoint(eager=eager)
+
+
+def in_parallel[A, B](run: Callable[[A], B], items: Sequence[A], at_once: int) -> list[B]:
+    """Independent Spark jobs side by side, so that the tail of one does not idle the cluster."""
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        return list(pool.map(run, items))

@@ -62,6 +62,9 @@ class Settings:
     # Also treat a changed document as pending when changed_at has not moved.
     use_content_hash: bool = False
 
+    # Tables or models worked on at the same time.
+    parallel: int = 4
+
     # Delivery.
     send_retries: int = 3
     dry_run: bool = False

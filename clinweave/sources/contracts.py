@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 AUDIT = "voided int, date_created timestamp_ntz, date_updated timestamp_ntz"
@@ -194,8 +193,10 @@ def missing_columns(df: DataFrame, c: Contract) -> list[str]:
     return [name for name in c.columns if name not in df.columns]
 
 
-def _clean(c: Contract, name: str) -> Column:
-    return F.rtrim(F.col(name)) if name in c.padded else F.col(name)
+def _typed(c: Contract, field: T.StructField, found: T.DataType) -> str:
+    name, kind = f"`{field.name}`", field.dataType.simpleString()
+    value = f"rtrim({name})" if field.name in c.padded else name
+    return name if value == name and found == field.dataType else f"cast({value} as {kind}) as {name}"
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -204,6 +205,6 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     missing = missing_columns(df, c)
     if missing:
         raise ValueError(f"{table}: missing columns {missing}")
-    typed = [_clean(c, f.name).cast(f.dataType).alias(f.name) for f in c.schema]
-    extra = [F.col(name) for name in df.columns if name not in c.columns]
-    return df.select(*typed, *extra)
+    found = {f.name: f.dataType for f in df.schema}
+    extra = [f"`{name}`" for name in found if name not in c.columns]
+    return df.selectExpr(*[_typed(c, f, found[f.name]) for f in c.schema], *extra)
