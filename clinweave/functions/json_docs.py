@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -78,8 +79,31 @@ TAGS = "array<struct<system:string,code:string,display:string>>"
 def tag_source(resource: Column | str, system: str, code: str) -> Column:
     """DL4: the document with the provenance tag in meta.tag; unchanged when the tag is there already."""
     text = col_of(resource)
-    tags = F.from_json(F.get_json_object(text, "$.meta.tag"), TAGS)
-    tagged = F.exists(tags, lambda t: (t["system"] == system) & (t["code"] == code))
+    listed = F.get_json_object(text, "$.meta.tag")
+    tagged = F.exists(F.from_json(listed, TAGS), lambda t: (t["system"] == system) & (t["code"] == code))
+    spliced = _spliced_tag(text, listed, json.dumps({"system": system, "code": code}, separators=(",", ":")))
+    return (
+        F.when(F.coalesce(tagged, F.lit(False)), text)
+        .when(spliced.isNotNull(), spliced)
+        .otherwise(_rebuilt_tag(text, system, code))
+    )
+
+
+def _spliced_tag(text: Column, listed: Column, stamp: str) -> Column:
+    """The stamp put at the end of the tag list as text; null where that is not certain to be right.
+
+    An unescaped `"meta":` is always a member name. With exactly one of them in the document it is the
+    resource's own, and the tag list is found behind it as it is written.
+    """
+    start = '"meta":{"tag":'
+    once = F.length(F.replace(text, F.lit('"meta":'), F.lit(""))) == F.length(text) - len('"meta":')
+    longer = F.concat(F.lit(start), F.substring(listed, F.lit(1), F.length(listed) - 1), F.lit(f",{stamp}]"))
+    spliced = F.replace(text, F.concat(F.lit(start), listed), longer)
+    return F.when(once & (listed != "[]") & (spliced != text), spliced)
+
+
+def _rebuilt_tag(text: Column, system: str, code: str) -> Column:
+    """The stamp added to the parsed document, whatever its layout."""
     stamp = F.parse_json(F.to_json(F.struct(F.lit(system).alias("system"), F.lit(code).alias("code"))))
     no_meta, no_tags = F.expr(f"cast(map() as {VARIANT_MAP})"), F.expr("cast(array() as array<variant>)")
 
@@ -92,8 +116,7 @@ def tag_source(resource: Column | str, system: str, code: str) -> Column:
         tag = F.parse_json(F.to_json(F.concat(F.coalesce(listed, no_tags), F.array(stamp))))
         return F.parse_json(F.to_json(with_member(m["meta"], "tag", tag)))
 
-    stamped = F.to_json(_bind(of_doc, doc=_members(text)))
-    return F.when(F.coalesce(tagged, F.lit(False)), text).otherwise(stamped)
+    return F.to_json(_bind(of_doc, doc=_members(text)))
 
 
 def with_member(doc: Column, name: str, value: Column) -> Column:

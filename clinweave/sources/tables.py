@@ -36,6 +36,16 @@ class Tables(Mapping):
         return len(self._names)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a table that was read in fewer tasks than there are cores over all of them.
+
+    Building documents is heavy per row, and a file with one row group is one task. A large table has many
+    splits and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_source(spark: SparkSession, root: str, table: str) -> DataFrame:
     """One source table as Parquet under `root`, typed by its contract."""
     return conform(spark.read.parquet(f"{root}/{table}"), table)
