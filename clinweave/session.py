@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,22 @@ def in_parallel[A, B](run: Callable[[A], B], items: Sequence[A], at_once: int) -
     """Independent Spark jobs side by side, so that the tail of one does not idle the cluster."""
     with ThreadPoolExecutor(max(1, at_once)) as pool:
         return list(pool.map(run, items))
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, wherever the driver imported it from. Once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="run-")) / f"{here.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(here.rglob("*")):
+            if f.is_file() and "__pycache__" not in f.parts:
+                z.write(f, f.relative_to(here.parent))
+    # Spark copies the file to every executor.
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)
