@@ -634,7 +634,7 @@ def dl3_clinical_bundles(spark: SparkSession, root: str) -> DataFrame:
     views = resource_tables(clinical_tables(spark, root))
     rows = D.pending_clinical(views, D.empty_state(spark), S)
     groups = D.clinical_groups(rows, views["patient"], S)
-    out = _entries(D.clinical_bundles(groups, S)).filter(F.col("pos") > 0)
+    out = _entries(D.clinical_bundles(groups)).filter(F.col("pos") > 0)
     return out.select("lead_url", F.col("e.request.url").alias("url"), F.col("e.request.method").alias("method"))
 
 
@@ -658,15 +658,11 @@ def dl4_tag(spark: SparkSession, root: str) -> DataFrame:
 @query
 def dl5_bundle(spark: SparkSession, root: str) -> DataFrame:
     """DL5: one bundle per patient with an allergy, entries in id order."""
-    rows = table(clinical_tables(spark, root), "allergy_intolerance")
-    entry = F.struct("fhir_id", D.bundle_entry(F.col("resource"), S).alias("entry"))
-    rows = rows.groupBy("patient_fhir_id").agg(F.sort_array(F.collect_list(entry)).alias("e"))
-    bundles = rows.select(
-        F.col("patient_fhir_id").alias("bundle_id"), F.size("e").alias("size"),
-        D.build_bundle(F.transform("e", lambda x: x["entry"])).alias("bundle"),
-    )
-    return _entries(bundles).select(
-        "bundle_id", "type", big(F.col("pos")).alias("pos"), F.col("e.request.method").alias("method"),
+    t, s = clinical_tables(spark, root), Settings(clinical_views=("allergy_intolerance",))
+    views = resource_tables(t, s)
+    groups = D.clinical_groups(D.pending_clinical(views, D.empty_state(spark), s), views["patient"], s)
+    return _entries(D.clinical_bundles(groups)).select(
+        "bundle_id", "size", "type", big(F.col("pos")).alias("pos"), F.col("e.request.method").alias("method"),
         F.col("e.request.url").alias("url"),
     )
 
@@ -728,11 +724,10 @@ def no_pause(seconds: float) -> None:
 @query
 def k6_deliver(spark: SparkSession, root: str) -> DataFrame:
     """K6: one bundle per visit through a receiver that answers by id."""
-    rows = to_table(built(clinical_tables(spark, root), "visit"))
+    rows = D.with_entries(to_table(built(clinical_tables(spark, root), "visit")), S)
     bundles = rows.select(
-        F.col("visit_id").cast("string").alias("bundle_id"), F.lit(1).alias("size"),
-        D.build_bundle(F.array(D.bundle_entry(F.col("resource"), S))).alias("bundle"),
-    )
+        F.col("visit_id").cast("string").alias("bundle_id"), F.lit(1).alias("size"), D.build_bundle(F.array("entry")).alias("bundle")
+    )
     return D.deliver(bundles, Picky(), retries=3, pause=no_pause)
 
 

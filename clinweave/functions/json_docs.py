@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinweave.functions.columns import col_of
@@ -80,21 +80,35 @@ def tag_source(resource: Column | str, system: str, code: str) -> Column:
     """DL4: the document with the provenance tag in meta.tag; unchanged when the tag is there already."""
     text = col_of(resource)
     listed = F.get_json_object(text, "$.meta.tag")
-    tagged = F.exists(F.from_json(listed, TAGS), lambda t: (t["system"] == system) & (t["code"] == code))
-    spliced = _spliced_tag(text, listed, json.dumps({"system": system, "code": code}, separators=(",", ":")))
+    return _tagged(text, listed, _spliced_tag(text, listed, system, code), system, code)
+
+
+def stamp_rows(df: DataFrame, resource: str, system: str, code: str, name: str) -> DataFrame:
+    """DL4 over a table: `tag_source` as column `name`. Each intermediate is a column, so it is computed once."""
+    df = df.withColumn("_listed", F.get_json_object(resource, "$.meta.tag"))
+    df = df.withColumn("_spliced", _spliced_tag(F.col(resource), F.col("_listed"), system, code))
+    out = _tagged(F.col(resource), F.col("_listed"), F.col("_spliced"), system, code)
+    return df.withColumn(name, out).drop("_listed", "_spliced")
+
+
+def _tagged(text: Column, listed: Column, spliced: Column, system: str, code: str) -> Column:
+    there = F.exists(F.from_json(listed, TAGS), lambda t: (t["system"] == system) & (t["code"] == code))
+    # Only a list that holds both values can hold the tag; that is cheaper to see than to parse.
+    maybe = listed.contains(system) & listed.contains(code)
     return (
-        F.when(F.coalesce(tagged, F.lit(False)), text)
+        F.when(F.coalesce(maybe, F.lit(False)) & F.coalesce(there, F.lit(False)), text)
         .when(spliced.isNotNull(), spliced)
         .otherwise(_rebuilt_tag(text, system, code))
     )
 
 
-def _spliced_tag(text: Column, listed: Column, stamp: str) -> Column:
+def _spliced_tag(text: Column, listed: Column, system: str, code: str) -> Column:
     """The stamp put at the end of the tag list as text; null where that is not certain to be right.
 
     An unescaped `"meta":` is always a member name. With exactly one of them in the document it is the
     resource's own, and the tag list is found behind it as it is written.
     """
+    stamp = json.dumps({"system": system, "code": code}, separators=(",", ":"))
     start = '"meta":{"tag":'
     once = F.length(F.replace(text, F.lit('"meta":'), F.lit(""))) == F.length(text) - len('"meta":')
     longer = F.concat(F.lit(start), F.substring(listed, F.lit(1), F.length(listed) - 1), F.lit(f",{stamp}]"))

@@ -83,7 +83,7 @@ def test_identity_bundles(spark):
 def test_clinical_bundles_lead_with_the_patient(spark):
     rows = clinical(spark, [("obs", "o2", "p1", T1), ("enc", "e1", "p1", T1), ("obs", "o1", "p2", T1), ("obs", "o9", "gone", T2)])
     groups = D.clinical_groups(rows, patients(spark, "p1", "p2", "p3"), S)
-    got = bundles_of(D.clinical_bundles(groups, S))
+    got = bundles_of(D.clinical_bundles(groups))
     assert {k: urls(b) for k, b in got.items()} == {
         "clinical-p1": ["Patient/p1", "Enc/e1", "Obs/o2"], "clinical-p2": ["Patient/p2", "Obs/o1"],
     }
@@ -97,7 +97,7 @@ def test_a_large_patient_is_split_and_nothing_is_lost(spark, monkeypatch, broadc
     rows = clinical(spark, [("obs", f"o{i}", "big", T1) for i in range(95)] + [("obs", "x", "small", T1)])
     s = Settings(bundle_entries=10)
     groups = D.clinical_groups(rows, patients(spark, "big", "small"), s)
-    got = bundles_of(D.clinical_bundles(groups, s))
+    got = bundles_of(D.clinical_bundles(groups))
     big = [b for k, b in got.items() if k.startswith("clinical-big")]
     assert len(big) > 5
     assert max(len(b["entry"]) for b in big) < 40
