@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from dataclasses import replace
 from datetime import datetime, timedelta
+from urllib.parse import quote
 
 import pytest
 from pyspark.sql import functions as F
@@ -272,7 +273,8 @@ def test_cycle_reports_a_failed_stage_and_goes_on(clinic, store, monkeypatch):
 
 
 def search_answers():
-    first = "http://x/Encounter?_tag=http%3A%2F%2Fsedish-haiti.org%2Ffhir%2Fsource%7Cconsolidated-pipeline&_elements=id&_count=2"
+    tag = quote(f"{S.source_tag_system}|{S.source_tag_code}", safe="")
+    first = f"http://x/Encounter?_tag={tag}&_elements=id&_count=2"
     answers = {
         first: {
             "entry": [{"resource": {"id": "a"}}, {"resource": {"id": "b"}}],
