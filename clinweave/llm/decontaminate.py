@@ -136,7 +136,8 @@ def _search(index, size: int):
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """`docs` (doc_id, text) with matches: array of (item_id, n_item, n_common), and contaminated: has a match.
+    """`docs` (with a column text) and matches: array of (item_id, n_item, n_common), and contaminated: has a match. The two
+    replace columns of that name.
 
     Words of `docs` and of `benchmark` (item_id, text) are lower-cased (A-Z). A document matches an item when it holds at
     least `percent` of the item's distinct shingles of `size` words, wherever they stand; an item of fewer words is one
@@ -152,10 +153,11 @@ def find_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: in
     weight = sets.agg(F.sum(F.octet_length("grams") + 512)).first()[0] or 0
     blocks = -(-weight // block_bytes)
     kind = "array<struct<item_id:bigint,n_item:bigint,n_common:bigint>>"
-    found = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("matches", F.array().cast(kind))
+    docs = docs.drop("contaminated").withColumn("text", F.col("text").cast("string"))
+    found = docs.withColumn("matches", F.array().cast(kind))
     for block in range(blocks):
         rows = sets.where(F.pmod(F.xxhash64("item_id", "grams"), F.lit(blocks)) == block).collect()
         if rows:
             index = spark.sparkContext.broadcast(ItemIndex(rows, percent))
-            found = found.mapInArrow(_search(index, size), f"doc_id bigint, text string, matches {kind}")
+            found = found.mapInArrow(_search(index, size), found.schema)
     return found.withColumn("contaminated", F.size("matches") > 0)

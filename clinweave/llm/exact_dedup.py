@@ -218,7 +218,8 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", trie_bytes: int =
 
 
 def drop_exact_duplicates(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The columns of `docs`, for one row of every group of equal texts (all rows that repeat the kept id)."""
+    """The rows of `docs` that `exact_duplicates` keeps, with their columns."""
     marked = exact_duplicates(docs.select("doc_id", "text"), keep)
-    gone = marked.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = marked.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    body = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (body == F.col("_sha")), "left_anti")

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from clinweave.llm.shared import written
 from clinweave.llm.vocab import Remembered
@@ -265,12 +266,13 @@ def _score(shared):
 
 
 def toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
-    """`docs` (doc_id bigint, text) with score (0 to 1) and predicted (score >= 0.5).
+    """`docs` (with a column text) and score (0 to 1) and predicted (score >= 0.5), which replace columns of that name.
 
     Null and empty texts get the score of a text without any feature. Rows are scored one by one, so repeated rows and
     null ids are scored like others; no other column than the text enters the score.
     """
     ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 28 ** 3 numbers and MAX_FEATURES weights at most
-    scored = docs.select("doc_id", "text").mapInArrow(_score(shared), "doc_id bigint, text string, score double")
+    docs = docs.drop("score", "predicted").withColumn("text", F.col("text").cast("string"))
+    scored = docs.mapInArrow(_score(shared), StructType([*docs.schema.fields, StructField("score", DoubleType())]))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
