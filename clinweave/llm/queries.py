@@ -106,7 +106,7 @@ def _shingles(size: int) -> str:
     joined = " || ' ' || ".join(f"w[i + {k}]" for k in range(size))
     return (
         f"CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')] "
-        f"ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}), i -> {joined})) END"
+        f"ELSE list_distinct(list_transform(range(1, len(w) - {size - 2}), lambda i: {joined})) END"
     )
 
 
@@ -134,7 +134,7 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
     "op6_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
 v AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS at, w FROM d WHERE len(w) >= 50),
-h AS (SELECT doc_id, at, md5(array_to_string(w[at:at + 49], ' ')) AS h FROM v),
+h AS (SELECT doc_id, at, md5(array_to_string(list_slice(w, at, at + 49), ' ')) AS h FROM v),
 f AS (SELECT doc_id, at, doc_id > min(doc_id) OVER (PARTITION BY h) AS gone FROM h),
 u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM d),
 c AS (SELECT u.doc_id, u.at, word,
