@@ -133,14 +133,14 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
     "op6_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS.format(text="coalesce(text, '')")} AS w FROM documents),
-v AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS at, w FROM d WHERE len(w) >= 50),
-h AS (SELECT doc_id, at, md5(array_to_string(list_slice(w, at, at + 49), ' ')) AS h FROM v),
-f AS (SELECT doc_id, at, doc_id > min(doc_id) OVER (PARTITION BY h) AS gone FROM h),
-u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS at, unnest(w) AS word FROM d),
-c AS (SELECT u.doc_id, u.at, word,
-             coalesce(max(CAST(gone AS INT)) OVER (PARTITION BY u.doc_id ORDER BY u.at ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS out
-      FROM u LEFT JOIN f ON u.doc_id = f.doc_id AND u.at = f.at),
-k AS (SELECT doc_id, count(*) AS n, sum(out) AS o, string_agg(word, ' ' ORDER BY at) FILTER (out = 0) AS t FROM c GROUP BY doc_id)
+v AS (SELECT doc_id, unnest(range(1, len(w) - 48)) AS pos, w FROM d WHERE len(w) >= 50),
+h AS (SELECT doc_id, pos, md5(array_to_string(list_slice(w, pos, pos + 49), ' ')) AS win FROM v),
+f AS (SELECT doc_id, pos, doc_id > min(doc_id) OVER (PARTITION BY win) AS gone FROM h),
+u AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS pos, unnest(w) AS word FROM d),
+c AS (SELECT u.doc_id, u.pos, word,
+             coalesce(max(CAST(gone AS INT)) OVER (PARTITION BY u.doc_id ORDER BY u.pos ROWS BETWEEN 49 PRECEDING AND CURRENT ROW), 0) AS cut
+      FROM u LEFT JOIN f ON u.doc_id = f.doc_id AND u.pos = f.pos),
+k AS (SELECT doc_id, count(*) AS n, sum(cut) AS o, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE cut = 0) AS t FROM c GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n, 0) AS n_words, CAST(coalesce(o, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN k ON d.doc_id = k.doc_id""",
     "op7_url_filter": f"""
@@ -160,8 +160,8 @@ b AS (SELECT item_id, {_WORDS.format(text=_LOWER)} AS w FROM benchmark),
 i AS (SELECT item_id, {_shingles(5)} AS g FROM b),
 j AS (SELECT item_id, len(g) AS n, unnest(g) AS x FROM i),
 m AS (SELECT doc_id, item_id FROM s JOIN j ON s.x = j.x GROUP BY doc_id, item_id, n HAVING 100 * count(*) >= 80 * n),
-o AS (SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS t
-      FROM m GROUP BY doc_id)
+o AS (SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS t
+      FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
 SELECT d.doc_id, o.n IS NOT NULL AS contaminated, coalesce(o.n, 0) AS n_items, coalesce(o.t, '') AS item_ids
 FROM documents AS d LEFT JOIN o ON d.doc_id = o.doc_id""",
 }
