@@ -17,7 +17,6 @@ def _stars(links: DataFrame) -> DataFrame:
         ends.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         .union(least.where("a <> m").select("a", F.col("m").alias("b")))
     )
-    large = large.distinct()
     # small star: neighbours below a node, and the node itself, go to the least of them
     low = large.groupBy("a").agg(F.min("b").alias("m"))
     return (
@@ -26,6 +25,15 @@ def _stars(links: DataFrame) -> DataFrame:
     )
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node hangs on one other node that hangs on none."""
+    ends = links.select(F.col("a").alias("n"), F.lit(1).alias("below"), F.lit(0).alias("top")).union(
+        links.select(F.col("b").alias("n"), F.lit(0), F.lit(1))
+    )
+    seen = ends.groupBy("n").agg(F.sum("below").alias("below"), F.max("top").alias("top"))
+    return seen.where("below + top > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """`links` has long columns a and b. Returns (node, component): the smallest node reachable, for linked nodes.
 
@@ -35,10 +43,6 @@ def components(links: DataFrame) -> DataFrame:
     links = checkpointed(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
-    mark = None
-    while True:
-        here = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if here == mark:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        mark = here
+    while not _settled(links):
         links = checkpointed(_stars(links))
+    return links.select(F.col("a").alias("node"), F.col("b").alias("component"))

@@ -2,9 +2,12 @@
 
 Each text class (texts with the same shingle set) gets `trees` labels of `levels` MinHash values. For every tree the
 labels are sorted over the cluster, so near copies stand next to each other and share a prefix with their neighbours.
-A region of labels that share `least` values is taken whole while it is small; where it is crowded, its labels are
-told apart one level deeper, region by region, and every member is also tied to the region's first label and to its
-next neighbours at each depth. Candidate pairs are confirmed on full shingle sets.
+A region holds neighbours whose labels share LEAST values; where it is crowded, its labels are told apart one level
+deeper, region by region.
+
+Candidates come in two rounds. The first ties every member to its region's smallest node at each depth. Pairs are confirmed on full shingle sets and give components. The second round looks into the regions that
+still hold several components: small ones give all pairs across components, crowded ones the nearest neighbours across
+components at each depth. So a group of thousands of near copies costs a few pairs per member.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ TREES = 16
 LEVELS = 8
 LEAST = 4
 CROWD = 48
-NEIGHBOURS = 6
+NEIGHBOURS = 4
 
 
 def _hash_family(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -64,8 +67,10 @@ def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches):
             sets = shingle_sets(words_of(piece.column("text"), lower=True), size)
+            ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("node"), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"]
+                [piece.column("node"), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["node", "shingles"]
             )
 
     return run
@@ -76,30 +81,38 @@ def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         signs = np.frombuffer(b"".join(batch.column("sign").to_pylist()), ">u2")
         signs = signs.reshape(batch.num_rows, TREES, LEVELS)
-        nodes = batch.column("node").to_numpy()
+        nodes, parts = batch.column("node"), batch.column("part")
         for tree in range(TREES):
-            part = np.ascontiguousarray(signs[:, tree]).tobytes()
+            flat = np.ascontiguousarray(signs[:, tree]).tobytes()
             width = LEVELS * 2
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(nodes), tree, np.int32)),
-                 pa.array([part[k : k + width] for k in range(0, len(part), width)], pa.binary()), pa.array(nodes)],
-                ["tree", "label", "node"],
+                 pa.array([flat[k : k + width] for k in range(0, len(flat), width)], pa.binary()), nodes, parts],
+                ["tree", "label", "node", "part"],
             )
 
 
-def region_pairs(trees: np.ndarray, labels: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """Candidate pairs of one sorted run. `labels` has one row of LEVELS values per class.
+def region_pairs(trees: np.ndarray, labels: np.ndarray, nodes: np.ndarray, parts: np.ndarray, across: bool) -> np.ndarray:
+    """Candidate pairs (a, b), a < b, of one sorted run; `labels` has one row of LEVELS values per class.
 
-    A region holds neighbours that share a prefix of `depth` values. Regions of at most CROWD members give all their
-    pairs and go no deeper. Others tie each member to the region's first label and to NEIGHBOURS next ones, and are
-    split at the next depth. Returns rows (a, b) with a < b.
+    The first round (not `across`) ties members to the smallest node of their region. The second gives pairs of different parts: all in regions of at most CROWD members, the NEIGHBOURS next ones in others. Only
+    crowded regions are split at the next depth.
     """
     count = len(nodes)
     if count < 2:
         return np.zeros((0, 2), np.int64)
     same = labels[1:] == labels[:-1]
     shared = np.where(trees[1:] == trees[:-1], np.cumprod(same, axis=1).sum(axis=1), -1)
-    found, place, active = [], np.arange(count), np.ones(count, bool)
+    found, active = [np.zeros((0, 2), np.int64)], np.ones(count, bool)
+
+    def near(among: np.ndarray, region: np.ndarray, most: int) -> None:
+        for step in range(1, min(most, count - 1) + 1):
+            at = np.flatnonzero(among[:-step] & (region[step:] == region[:-step]))
+            if not len(at):
+                return
+            at = at[parts[at] != parts[at + step]]
+            found.append(np.stack([nodes[at], nodes[at + step]], 1))
+
     for depth in range(LEAST, LEVELS + 1):
         joined = (shared >= depth) & active[1:] & active[:-1]
         region = np.concatenate(([0], np.cumsum(~joined)))
@@ -107,21 +120,17 @@ def region_pairs(trees: np.ndarray, labels: np.ndarray, nodes: np.ndarray) -> np
         sizes = np.diff(np.append(heads, count))[region]
         crowded = active & (sizes > CROWD)
         small = active & (sizes > 1) & ~crowded
-        for step in range(1, CROWD):
-            at = np.flatnonzero(small[:-step] & (region[step:] == region[:-step])) if step < count else []
-            if not len(at):
-                break
-            found.append(np.stack([at, at + step], 1))
-        at = np.flatnonzero(crowded)
-        at = at[heads[region[at]] != at]
-        found.append(np.stack([heads[region[at]], at], 1))
-        for step in range(1, min(NEIGHBOURS, count - 1) + 1):
-            at = np.flatnonzero(crowded[:-step] & (region[step:] == region[:-step]))
-            found.append(np.stack([at, at + step], 1))
+        if across:
+            near(small, region, CROWD)
+            near(crowded, region, NEIGHBOURS)
+        else:
+            hubs = np.minimum.reduceat(nodes, heads)[region]
+            at = np.flatnonzero(active & (sizes > 1))
+            found.append(np.stack([hubs[at], nodes[at]], 1))
         active = crowded
         if not active.any():
             break
-    pairs = nodes[np.concatenate(found)] if found else np.zeros((0, 2), np.int64)
+    pairs = np.concatenate(found)
     pairs.sort(axis=1)
     pairs = pairs[pairs[:, 0] < pairs[:, 1]]
     if not len(pairs):
@@ -130,11 +139,14 @@ def region_pairs(trees: np.ndarray, labels: np.ndarray, nodes: np.ndarray) -> np
     return pairs[np.concatenate(([True], (pairs[1:] != pairs[:-1]).any(axis=1)))]
 
 
-def _scan_run(edges: bool):
+_ROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("label", pa.binary())])
+
+
+def _scan_run(across: bool, edges: bool):
     """Candidate pairs of one partition of sorted labels; with `edges`, also the rows at its two ends.
 
     A region may be cut by a partition border. The CROWD rows at either end go on to a second scan, where the ends of
-    neighbouring partitions meet.
+    neighbouring partitions meet. Such a row has its node in `a` and its part in `b`.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,44 +154,33 @@ def _scan_run(edges: bool):
         if not held:
             return
         rows = pa.Table.from_batches(held)
-        trees = rows.column("tree").to_numpy()
-        nodes = rows.column("node").to_numpy()
-        flat = b"".join(rows.column("label").to_pylist())
-        labels = np.frombuffer(flat, ">u2").reshape(len(nodes), LEVELS)
-        pairs = region_pairs(trees, labels, nodes)
+        trees, nodes, parts = (rows.column(c).to_numpy() for c in ("tree", "node", "part"))
+        texts = rows.column("label").to_pylist()
+        labels = np.frombuffer(b"".join(texts), ">u2").reshape(len(nodes), LEVELS)
+        pairs = region_pairs(trees, labels, nodes, parts, across)
         for k in range(0, len(pairs), 100_000):
             part = pairs[k : k + 100_000]
-            none = pa.nulls(len(part), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[:, 0]), pa.array(part[:, 1]), none, pa.nulls(len(part), pa.binary())],
-                ["a", "b", "tree", "label"],
-            )
+            nothing = [pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(part[:, 0]), pa.array(part[:, 1]), *nothing], schema=_ROW)
         if edges:
-            ends = np.unique(np.concatenate([np.arange(min(CROWD, len(nodes))), np.arange(max(0, len(nodes) - CROWD), len(nodes))]))
-            part = rows.take(pa.array(ends)).combine_chunks()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[ends]), pa.nulls(len(ends), pa.int64()), part.column("tree").combine_chunks().cast(pa.int32()),
-                 part.column("label").combine_chunks().cast(pa.binary())],
-                ["a", "b", "tree", "label"],
-            )
+            ends = sorted({*range(min(CROWD, len(nodes))), *range(max(0, len(nodes) - CROWD), len(nodes))})
+            columns = [pa.array(nodes[ends]), pa.array(parts[ends]), pa.array(trees[ends].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([texts[k] for k in ends], pa.binary())], schema=_ROW)
 
     return run
 
 
-def candidates(classes: DataFrame) -> DataFrame:
-    """Pairs (a, b), a < b, of classes (node, sign) that meet in some tree."""
-    labels = classes.select("node", "sign").mapInArrow(_labels, "tree int, label binary, node bigint")
+def candidates(classes: DataFrame, across: bool) -> DataFrame:
+    """Pairs (a, b), a < b, of classes (node, sign, part) that meet in some tree; with `across`, of different parts."""
+    labels = classes.select("node", "sign", "part").mapInArrow(_labels, "tree int, label binary, node bigint, part bigint")
     schema = "a bigint, b bigint, tree int, label binary"
+    order = ("tree", "label", "node")
     runs = written(
-        labels.repartitionByRange("tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-        .mapInArrow(_scan_run(True), schema),
-        "forest",
-    )
-    prefix = F.substring("label", 1, 2 * LEAST)
-    ends = runs.where("label is not null").select("tree", "label", F.col("a").alias("node"))
-    seams = (
-        ends.repartition("tree", prefix).sortWithinPartitions("tree", "label", "node").mapInArrow(_scan_run(False), schema)
+        labels.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_scan_run(across, True), schema), "forest"
     )
+    ends = runs.where("label is not null").select("tree", "label", F.col("a").alias("node"), F.col("b").alias("part"))
+    prefix = F.substring("label", 1, 2 * LEAST)
+    seams = ends.repartition("tree", prefix).sortWithinPartitions(*order).mapInArrow(_scan_run(across, False), schema)
     return runs.where("label is null").select("a", "b").union(seams.select("a", "b")).distinct()
 
 
@@ -190,24 +191,13 @@ def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(share)], ["a", "b", "share"])
 
 
-def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for one, two in zip(batch.column("shingles"), batch.column("others"), strict=True):
-                one, two = (np.frombuffer(s.as_buffer(), np.uint64) for s in (one, two))
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
-
-    return run
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets are similar enough. Row by row in the JVM: two long texts are never held in a batch."""
     other = sets.select(F.col("node").alias("b"), F.col("shingles").alias("others"))
+    both = F.size(F.array_intersect("shingles", "others"))
     return (
         pairs.select("a", "b").join(sets.withColumnRenamed("node", "a"), "a").join(other, "b")
-        .mapInArrow(_confirm(percent), "a bigint, b bigint")
+        .where(100 * both >= percent * (F.size("shingles") + F.size("others") - both)).select("a", "b")
     )
 
 
@@ -230,32 +220,40 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .agg(F.min("doc_id").alias("node"), F.first("sign").alias("sign")),
         "near-classes",
     )
-    # a doc_id may stand on several different texts; its classes then share a component by their node
-    signs = classes.groupBy("node").agg(F.min(F.struct("sign", "print")).alias("s")).select("node", "s.sign", "s.print")
-    other = signs.select(F.col("node").alias("b"), F.col("sign").alias("other"))
-    # an estimate from all signature values, five standard deviations below the threshold, spares hopeless confirmations
-    floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / (TREES * LEVELS)) ** 0.5
-    pairs = (
-        candidates(signs).join(signs.select(F.col("node").alias("a"), "sign"), "a").join(other, "b")
-        .mapInArrow(_agreement, "a bigint, b bigint, share double").where(F.col("share") >= floor)
-    )
-    pairs = checkpointed(pairs)
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = written(
-        docs.withColumnRenamed("doc_id", "node").join(ends, "node", "left_semi").dropDuplicates(["node"])
-        .mapInArrow(_sets(size), "node bigint, shingles binary"),
-        "near-sets",
-    )
+    # a doc_id should stand on one text; if it stands on several, any of their links counts for it
+    signs = classes.select("node", "sign")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Pairs whose signatures agree enough: five standard deviations below the threshold and more."""
+        floor = percent / 100 - 5 * (percent / 100 * (1 - percent / 100) / (TREES * LEVELS)) ** 0.5
+        other = signs.select(F.col("node").alias("b"), F.col("sign").alias("other"))
+        pairs = pairs.join(signs.withColumnRenamed("node", "a"), "a").join(other, "b")
+        shares = pairs.mapInArrow(_agreement, "a bigint, b bigint, share double")
+        return checkpointed(shares.where(F.col("share") >= floor))
+
+    def with_sets(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        texts = docs.withColumnRenamed("doc_id", "node").join(ends, "node", "left_semi").dropDuplicates(["node"])
+        return written(texts.mapInArrow(_sets(size), "node bigint, shingles array<bigint>"), "near-sets")
+
+    def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+        """Pairs whose ends are not in one component yet."""
+        for side in "ab":
+            named = groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+            pairs = pairs.join(named, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+        return pairs.where("of_a <> of_b").select("a", "b")
+
     # first the likeliest partner of every class, then what is left between different components
+    pairs = alike(candidates(signs.withColumn("part", F.col("node")), across=False))
     best = pairs.groupBy("b").agg(F.max_by("a", "share").alias("a"))
-    links = checkpointed(_confirmed(best, sets, percent))
+    links = checkpointed(_confirmed(best, with_sets(best), percent))
     groups = components(links)
-    left = pairs.join(best, ["a", "b"], "left_anti")
-    for side in "ab":
-        named = groups.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-        left = left.join(named, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
-    more = checkpointed(_confirmed(left.where("of_a <> of_b"), sets, percent))
-    groups = components(links.union(more))
+    parts = signs.join(groups, "node", "left").select("node", "sign", F.coalesce("component", "node").alias("part"))
+    across = candidates(parts, across=True).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    left = apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), groups).union(alike(across).select("a", "b"))
+    left = checkpointed(left)
+    if not left.isEmpty():
+        groups = components(links.union(_confirmed(left, with_sets(left), percent)))
     named = classes.select("print", "node").join(groups, "node", "left")
     named = named.select("print", F.coalesce("component", "node").alias("component_id"))
     return (

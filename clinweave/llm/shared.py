@@ -32,7 +32,12 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Rows per partition of a checkpointed table that is read again.
+CHECKPOINT_ROWS = 100_000
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """A reliable checkpoint, for small rows in loops."""
+    """A reliable checkpoint, for small rows in loops; few rows come back in few partitions."""
     shared_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    frame = frame.checkpoint(eager=True)
+    return frame.coalesce(1 + frame.count() // CHECKPOINT_ROWS)
