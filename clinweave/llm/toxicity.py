@@ -233,16 +233,19 @@ def fit(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None) ->
     names = [row["f"] for row in picked.collect()]
     place = {name: k for k, name in enumerate(names)}
     marked = spark.createDataFrame([(n, k) for n, k in place.items()], "f string, k int") if names else None
-    rows = found.select("doc_id", "toxic").distinct().collect()
-    index = {row["doc_id"]: k for k, row in enumerate(rows)}
-    truth = np.array([row["toxic"] for row in rows], float)
-    ones = (
-        found.select("doc_id", F.explode("found").alias("f")).join(F.broadcast(marked), "f").select("doc_id", "k").distinct().collect()
-        if names else []
-    )
-    at = np.array([index[row["doc_id"]] for row in ones], np.int64)
-    columns = np.array([row["k"] for row in ones], np.int64)
-    weights, intercept = _logistic(at, columns, (len(rows), len(names)), truth, penalty=1.0, rounds=600)
+    # one number per labelled row and feature hit, as arrays: 12 bytes each, bounded by the sample
+    rows = found.select("doc_id", "toxic").distinct().toArrow()
+    ids, truth = (rows.column(c).to_numpy() for c in ("doc_id", "toxic"))
+    order = np.argsort(ids)
+    if names:
+        hits = found.select("doc_id", F.explode("found").alias("f")).join(F.broadcast(marked), "f").select("doc_id", "k").toArrow()
+        at = order[np.searchsorted(ids, hits.column("doc_id").to_numpy(), sorter=order)]
+        columns = hits.column("k").to_numpy().astype(np.int64)
+        pairs = np.unique(at * len(names) + columns)
+        at, columns = pairs // len(names), pairs % len(names)
+    else:
+        at = columns = np.zeros(0, np.int64)
+    weights, intercept = _logistic(at, columns, (len(ids), len(names)), truth.astype(float), penalty=1.0, rounds=600)
     return ToxicModel(characters, {n: float(w) for n, w in zip(names, weights, strict=True) if abs(w) > 1e-3}, float(intercept))
 
 
