@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinweave.llm.vocab import Remembered, default_path, load_ranks, split_pattern
+from clinweave.llm.vocab import Remembered, TextCoder, default_path, load_ranks
 from clinweave.llm.words import pieces
 from clinweave.session import ship_package
 
@@ -26,12 +26,12 @@ from clinweave.session import ship_package
 class PrefixCoder:
     """Encoder and decoder over the ranks of a vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], remember: int = 400_000):
         self.ranks = ranks
         self.token = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._fits = Remembered(self._compatible)
-        self._stands = Remembered(lambda token: self.merge(token) == [token])
+        self._fits = Remembered(self._compatible, remember * 3 // 4 if remember > 300_000 else remember // 2)
+        self._stands = Remembered(lambda token: self.merge(token) == [token], 60_000)
 
     def merge(self, text: bytes) -> list[bytes]:
         """Reference merge loop for short strings: join the adjacent pair of least rank until none is a token."""
@@ -114,21 +114,20 @@ class PrefixText:
         return self.coder.read(self.table)
 
 
-@lru_cache(maxsize=2)
-def _coder(path: str) -> tuple[PrefixCoder, Remembered]:
-    """The coder and the ids of the pre-tokens seen, as bytes; kept for the worker's life."""
-    coder = PrefixCoder(load_ranks(path))
-    return coder, Remembered(lambda word: np.array(coder.encode(word.encode()), "<u4").tobytes())
+@lru_cache(maxsize=1)
+def _coder(path: str, remember: int) -> tuple[PrefixCoder, TextCoder]:
+    """The coder, and the coder of texts that remembers its pre-tokens; kept for the worker's life."""
+    coder = PrefixCoder(load_ranks(path), remember)
+    return coder, TextCoder(lambda word: np.array(coder.encode(word.encode()), "<u4").tobytes(), limit=remember)
 
 
-def _digests(path: str):
+def _digests(path: str, remember: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, packed = _coder(path)
-        cut = split_pattern()
+        coder, texts = _coder(path, remember)
         for piece in pieces(batches):
             ids, decoded = [], []
             for text in piece.column("text").to_pylist():
-                coded = b"".join(map(packed.__getitem__, cut.findall(text or "")))
+                coded = texts.code(text or "")
                 ids.append(coded)
                 decoded.append(coder.decode(np.frombuffer(coded, "<u4").tolist()))
             rest = [piece.column(k) for k in range(piece.num_columns)]
@@ -140,25 +139,27 @@ def _digests(path: str):
     return run
 
 
-def encode_decode(docs: DataFrame, ranks: str | None = None, digest: bool = False) -> DataFrame:
+def encode_decode(
+    docs: DataFrame, ranks: str | None = None, digest: bool = False, remember: int = 400_000
+) -> DataFrame:
     """`docs` (doc_id, text) with n_tokens and token_ids (little-endian unsigned 32-bit) and decoded (bytes).
 
     A null text counts as empty: no ids, no bytes. With `digest`, the two are given as ids_sha256 and decoded_sha256 and
-    only those leave the Python workers.
+    only those leave the Python workers. `remember` bounds the pre-tokens whose ids a worker keeps, some 200 bytes each.
     """
     ship_package(docs.sparkSession)
     path = ranks or default_path("byte_bpe_multi_50k.tiktoken")
     docs = docs.select("doc_id", "text")
     if not digest:
-        coded = docs.mapInArrow(_digests(path), "doc_id bigint, text string, token_ids binary, decoded binary")
+        coded = docs.mapInArrow(_digests(path, remember), "doc_id bigint, text string, token_ids binary, decoded binary")
         return coded.withColumn("n_tokens", (F.octet_length("token_ids") / 4).cast("bigint"))
     return docs.mapInArrow(
-        _hashed(path), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        _hashed(path, remember), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )
 
 
-def _hashed(path: str):
-    inner = _digests(path)
+def _hashed(path: str, remember: int):
+    inner = _digests(path, remember)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in inner(batches):

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from clinweave.llm.shared import table_path
 from clinweave.llm.simple8b import pack, unpack
-from clinweave.llm.vocab import Remembered, default_path, load_tokenizer, split_pattern
+from clinweave.llm.vocab import TextCoder, default_path, load_tokenizer
 from clinweave.llm.words import pieces
 from clinweave.session import ship_package
 
@@ -47,40 +47,48 @@ def _byte_letters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=2)
-def _piece_ids(path: str) -> Remembered:
-    """Ids of a pre-token as little-endian bytes, by the library's model; kept for the worker's life."""
-    model, letters = load_tokenizer(path).model, _byte_letters()
+def _coder(path: str) -> TextCoder:
+    """Ids by the library's model; what it has encoded is kept for the worker's life."""
+    tokenizer = load_tokenizer(path)
+    tokenize, letters = tokenizer.model.tokenize, _byte_letters()
+    coded = [k.to_bytes(4, "little") for k in range(tokenizer.get_vocab_size())]
+
+    blank = letters[0x20]
 
     def ids(piece: str) -> bytes:
-        tokens = model.tokenize(piece.encode().decode("latin-1").translate(letters))
-        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        if piece.isascii() and piece.isprintable():
+            written = piece.replace(" ", blank)
+        else:
+            written = piece.encode().decode("latin-1").translate(letters)
+        return b"".join([coded[t.id] for t in tokenize(written)])
 
-    return Remembered(ids)
+    return TextCoder(ids)
 
 
-def _block(shard: int, block: int, first: int, names: list, coded: list[np.ndarray]) -> pa.RecordBatch:
-    ids = np.concatenate(coded) if coded else np.zeros(0, np.uint64)
+def _block(shard: int, block: int, first: int, names: list, coded: list[bytes]) -> pa.RecordBatch:
+    ids = np.frombuffer(b"".join(coded), "<u4")
     words, at, large = pack(ids)
-    row = (shard, block, first, len(ids), names, [len(c) for c in coded], words.astype("<u8").tobytes(), at.tolist(),
+    row = (shard, block, first, len(ids), names, [len(c) // 4 for c in coded], words.astype("<u8").tobytes(), at.tolist(),
            [Decimal(int(x)) for x in large])
     return pa.RecordBatch.from_pylist([dict(zip(_ARROW.names, row, strict=True))], _ARROW)
 
 
 def _encode(path: str, end_id: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, cut = _piece_ids(path), split_pattern()
-        end = np.array([end_id], "<u4")
+        code = _coder(path).code
+        end = end_id.to_bytes(4, "little")
         shard, block, first, size = TaskContext.get().partitionId(), 0, 0, 0
         names, coded = [], []
         for piece in pieces(batches):
             for name, text in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), strict=True):
-                ids = np.frombuffer(b"".join(map(known.__getitem__, cut.findall(text or ""))), "<u4")
-                if size and size + len(ids) >= block_ids:
+                ids = code(text or "") + end
+                count = len(ids) // 4
+                if size and size + count > block_ids:
                     yield _block(shard, block, first, names, coded)
                     block, first, size, names, coded = block + 1, first + size, 0, [], []
                 names.append(name)
-                coded.append(np.concatenate([ids, end]))
-                size += len(ids) + 1
+                coded.append(ids)
+                size += count
         if names:
             yield _block(shard, block, first, names, coded)
 
@@ -101,7 +109,7 @@ def write_tokens(
         docs.select("doc_id", F.col("text").cast("string").alias("text"))
         .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
         .mapInArrow(_encode(vocabulary, end_id, block_ids), _BLOCK)
-        .write.option("compression", "zstd").parquet(path)
+        .write.option("compression", "lz4_raw").parquet(path)
     )
 
 
@@ -131,12 +139,14 @@ def _documents(ids_too: bool):
                 names = batch.column("doc_ids")[row].values
                 counts = batch.column("counts")[row].values.to_numpy()
                 ends = np.cumsum(counts)
-                parts = [ids[e - c : e] for e, c in zip(ends.tolist(), counts.tolist(), strict=True)]
+                places = list(zip((ends - counts).tolist(), ends.tolist(), strict=True))
                 columns = [names, pa.array(batch.column("first_id")[row].as_py() + ends - counts), pa.array(counts)]
                 if ids_too:
-                    columns.append(pa.array([p.astype(np.int64) for p in parts], pa.list_(pa.int64())))
+                    whole = ids.astype(np.int64)
+                    columns.append(pa.array([whole[a:b] for a, b in places], pa.list_(pa.int64())))
                 else:
-                    columns.append(pa.array([zlib.crc32(p.astype("<u4").tobytes()) for p in parts], pa.int64()))
+                    flat = memoryview(ids.astype("<u4").tobytes())
+                    columns.append(pa.array([zlib.crc32(flat[4 * a : 4 * b]) for a, b in places], pa.int64()))
                 last = "ids" if ids_too else "ids_crc32"
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", last])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 
@@ -20,6 +21,12 @@ def split_pattern():
     return regex.compile(public_tokenizers.PATTERN)
 
 
+#: The same cuts for texts of usual characters, on which the standard library's classes agree with Unicode's. Letters and
+#: digits cannot start like the endings after an apostrophe, so they may be tried first.
+_USUAL_PATTERN = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_UNUSUAL = re.compile("[^\\n\\x20-\\x7e\\u00c0-\\u024f]")
+
+
 @lru_cache(maxsize=2)
 def load_ranks(path: str) -> dict[bytes, int]:
     """Token bytes and their ranks."""
@@ -39,7 +46,7 @@ def load_tokenizer(path: str):
 class Remembered(dict):
     """A dict that fills itself by `make`. At `limit` keys it starts anew and takes over what is still asked for."""
 
-    def __init__(self, make, limit: int = 500_000):
+    def __init__(self, make, limit: int = 300_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -52,3 +59,15 @@ class Remembered(dict):
             value = self.make(key)
         self[key] = value
         return value
+
+
+class TextCoder:
+    """Ids of texts as little-endian bytes, each pre-token encoded on its own by `encode` (str to bytes) and remembered."""
+
+    def __init__(self, encode, limit: int = 800_000):
+        self.pieces = Remembered(encode, limit)
+        self.every, self.usual = split_pattern().findall, _USUAL_PATTERN.findall
+
+    def code(self, text: str) -> bytes:
+        words = self.every(text) if _UNUSUAL.search(text) else self.usual(text)
+        return b"".join(map(self.pieces.__getitem__, words))

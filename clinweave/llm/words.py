@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at once; arrays over them take some fifty times as much. A longer text is taken alone.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -39,7 +39,7 @@ def _byte_values(seed: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD[seed]))
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=3)
 def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd number and of its inverse modulo 2**64."""
     both = []
@@ -51,7 +51,7 @@ def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power_tables(seed: int, need: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(seed, 1 << max(16, int(need).bit_length()))
+    return _powers(seed, 1 << max(20, int(need).bit_length()))
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -155,3 +155,4 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(row + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(row, stop - row)
             row = stop
+    pa.default_memory_pool().release_unused()
