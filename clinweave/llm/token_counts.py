@@ -173,7 +173,7 @@ def _apply(path: str):
                 text = text or ""
                 tree = PreTokenTree(text, count, cut)
                 before = tree.tokens
-                wanted = [(e["start"], e["end"], e["new"] or "") for e in changes or []]
+                wanted = [(e["start"], e["end"], e["new"] or "") for e in changes or [] if e is not None]
                 wanted = [e for e in wanted if None not in e and 0 <= e[0] <= e[1] <= len(text)]
                 done, limit = 0, len(text) + 1
                 for start, end, new in sorted(wanted, reverse=True):  # from the back, so that places stay valid
@@ -192,7 +192,7 @@ def edited_counts(docs: DataFrame, ranks: str | None = None) -> DataFrame:
     """`docs` (doc_id bigint, text, edits array<struct<start, end, new>>): token counts before and after the edits.
 
     Returns doc_id, n_chars, n_tokens, n_edits (applied), n_recoded (pre-tokens encoded again), n_tokens_after and
-    text_after. Edits name characters of the given text, end exclusive. Edits with null places, outside the text, or
+    text_after. Edits name characters of the given text, end exclusive. Null edits and edits with null places, outside the text, or
     overlapping one that starts behind them are left out. Null text counts as empty, null edits as none, a null `new` as
     deletion. Rows are independent, so repeated rows and null ids need no care.
     """
