@@ -38,13 +38,14 @@ def session(master: str | None = None, app: str = "clinweave", **conf: str) -> S
 
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names, or a new one on a local master."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    context.setCheckpointDir(root)
     return root
 
 

@@ -47,11 +47,12 @@ class Settings:
 
     # Patients per identity bundle.
     identity_page: int = 100
-    # Clinical entries per bundle. A patient with more is sent in several bundles, patient first in each.
-    bundle_entries: int = 1000
-    # Elements in one child array. A larger group continues in further resources linked to the first.
-    # None turns the size check off for sources that already bound their groups.
-    max_children: int | None = 250_000
+    # Clinical entries per bundle, for receivers that limit them: a patient with more is then sent in several bundles,
+    # patient first in each. None: one bundle per patient and one for the shared resources, whatever their size.
+    bundle_entries: int | None = None
+    # Elements in one child array, for stores that limit them: a larger group then continues in further resources
+    # linked to the first. None: one resource per parent, whatever its size.
+    max_children: int | None = None
 
     # Read a mirror of the source (True) or the source itself on every cycle (False).
     use_mirror: bool = True

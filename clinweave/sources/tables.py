@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from pathlib import Path
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,13 +102,15 @@ def fetch_patients(patient: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def union_views(views: Mapping[str, DataFrame], names: Sequence[str], columns: Sequence[str]) -> DataFrame | None:
-    """U4: the named views under each other with their name as `view`; a missing view is left out."""
+    """U4: the named views under each other with their name as `view`; a missing view is left out.
+
+    A view that is there but lacks a column is an error.
+    """
     out = None
     for name in names:
-        try:
-            part = views[name].select(F.lit(name).alias("view"), *columns)
-        except (KeyError, AnalysisException):
+        if name not in views:
             continue
+        part = views[name].select(F.lit(name).alias("view"), *columns)
         out = part if out is None else out.unionByName(part)
     return out
 
