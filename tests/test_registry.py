@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from clinweave.checks.oracle import ORACLE
+from clinweave.checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -26,7 +28,9 @@ def duck():
 
 
 def test_names_agree():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Corpus queries, where they are present, may be beyond SQL; all others have some."""
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
