@@ -123,18 +123,20 @@ def f19_merge_patch(spark: SparkSession, root: str) -> DataFrame:
     events = base_table(spark, root, "events")
     nothing = F.lit(None).cast("string")
     left = F.concat(
-        F.lit('{"k":0,"keep":null,"a":{"x":1,"y":{"z":"old","w":2}},"list":[1,2],"kind":'),
+        F.lit('{"k":0,"keep":null,"a":{"x":1,"y":{"z":"old","w":2,"d":{"e":{"f":1,"g":2},"h":0}}},"list":[1,2],"kind":'),
         F.to_json(F.array("event_type")), F.lit("}"),
     )
     right = F.concat(
         F.lit('{"kind":null,"a":{"x":null,"n":'), F.col("event_id").cast("string"),
-        F.lit(',"y":{"z":"new","v":null}},"list":[null,'), F.col("user_id").cast("string"),
+        F.lit(',"y":{"z":"new","v":null,"d":{"e":{"f":null,"i":{"j":'),
+        F.col("event_id").cast("string"), F.lit('}}}}},"list":[null,'), F.col("user_id").cast("string"),
         F.lit('],"fresh":{"p":1,"q":null}}'),
     )
     both = json_merge_patch(json_merge_patch(left, F.col("props")), right)
     paths = {
         "k": "$.k", "kind": "$.kind", "a_x": "$.a.x", "a_n": "$.a.n", "a_y_z": "$.a.y.z", "a_y_w": "$.a.y.w",
-        "item": "$.list[1]", "fresh_p": "$.fresh.p",
+        "item": "$.list[1]", "fresh_p": "$.fresh.p", "deep_f": "$.a.y.d.e.f", "deep_g": "$.a.y.d.e.g", "deep_h": "$.a.y.d.h",
+        "deep_j": "$.a.y.d.e.i.j",
     }
     out = events.select("event_id", both.alias("doc"))
     return out.select(

@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinweave.functions.columns import col_of
+from clinweave.session import ship_package
 
 VARIANT_MAP = "map<string,variant>"
 
@@ -23,45 +25,32 @@ def _bind(body: Callable[[Column], Column], **values: Column) -> Column:
     return F.element_at(F.transform(F.array(row), body), 1)
 
 
-def _is_object(text: Column) -> Column:
-    return text.startswith("{")
+def merged(target: object, patch: object) -> object:
+    """A patch (RFC 7396) laid over a target, both as Python values."""
+    if not isinstance(patch, dict):
+        return patch
+    kept = target if isinstance(target, dict) else {}
+    live = {name: merged(kept.get(name), value) for name, value in patch.items() if value is not None}
+    return {name: value for name, value in kept.items() if name not in patch} | live
 
 
-def _without_nulls(text: Column, depth: int) -> Column:
-    """A patch value (JSON text) without null members, down to `depth` object levels; as a variant."""
-    if depth == 0:
-        return F.parse_json(text)
-    kept = F.map_filter(_members(text), lambda _, m: ~F.is_variant_null(m))
-    kept = F.transform_values(kept, lambda _, m: _without_nulls(F.to_json(m), depth - 1))
-    return F.when(_is_object(text), F.parse_json(F.to_json(kept))).otherwise(F.parse_json(text))
+def _merge_texts(left: pd.Series, right: pd.Series) -> pd.Series:
+    def one(target: str | None, patch: str | None) -> str | None:
+        if target is None or patch is None:
+            return None
+        return json.dumps(merged(json.loads(target), json.loads(patch)), ensure_ascii=False, separators=(",", ":"))
 
+    return pd.Series([one(a, b) for a, b in zip(left, right, strict=True)], dtype=object)
 
-def _merge(left: Column, right: Column, depth: int) -> Column:
-    def members(r: Column) -> Column:
-        kept = F.map_filter(r["left"], lambda k, _: ~F.map_contains_key(r["right"], k))
-        live = F.map_filter(r["right"], lambda _, v: ~F.is_variant_null(v))
-        return F.map_concat(kept, F.transform_values(live, lambda k, v: member(F.try_element_at(r["left"], k), v)))
 
-    def member(old: Column, new: Column) -> Column:
-        if depth == 0:
-            return _without_nulls(F.to_json(new), 0)
-        return _bind(merged, old=F.to_json(old), new=F.to_json(new))
+def json_merge_patch(left: Column | str, right: Column | str) -> Column:
+    """merge patch of two JSON documents. Null members of the patch remove; objects merge; else replace.
 
-    def merged(r: Column) -> Column:
-        both = F.coalesce(_is_object(r["old"]), F.lit(False)) & _is_object(r["new"])
-        deeper = _merge(_members(r["old"]), _members(r["new"]), depth - 1)
-        return F.when(both, F.parse_json(F.to_json(deeper))).otherwise(_without_nulls(r["new"], depth))
-
-    return _bind(members, left=left, right=right)
-
-
-def json_merge_patch(left: Column | str, right: Column | str, depth: int = 2) -> Column:
-    """merge patch of two JSON objects. Null members of the patch remove; objects merge; else replace.
-
-    Objects are merged `depth` levels below the top; arrays and deeper objects are replaced whole.
+    Objects merge at every depth, which no fixed nesting of built-in functions can say, so batches of both texts go to
+    Python. Null when either text is; text that is no JSON is an error.
     """
-    merged = _merge(_members(col_of(left)), _members(col_of(right)), depth)
-    return F.to_json(merged)
+    ship_package(SparkSession.active())
+    return F.pandas_udf(_merge_texts, "string")(col_of(left), col_of(right))
 
 
 def has_path(resource: Column | str, path: str, null_is_missing: bool = True) -> Column:

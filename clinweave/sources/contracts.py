@@ -22,6 +22,8 @@ class Contract:
     schema: T.StructType
     # Fixed-width text that arrives padded.
     padded: tuple[str, ...] = field(default=("uuid",))
+    # Key columns that may be null.
+    optional: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -44,9 +46,9 @@ def struct_of(ddl: str) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
 
 
-def _contract(name: str, key: str, ddl: str, site: bool = True) -> Contract:
+def _contract(name: str, key: str, ddl: str, site: bool = True, optional: str = "") -> Contract:
     ddl = f"mspp_code string, {ddl}" if site else ddl
-    return Contract(name, tuple(key.split()), struct_of(ddl))
+    return Contract(name, tuple(key.split()), struct_of(ddl), optional=tuple(optional.split()))
 
 
 CONTRACTS: dict[str, Contract] = {
@@ -147,10 +149,11 @@ CONTRACTS: dict[str, Contract] = {
         ),
         _contract(
             "patient_prescription",
-            "mspp_code encounter_id location_id drug_id",
+            "mspp_code patient_id encounter_id location_id drug_id",
             "patient_id bigint, encounter_id bigint, location_id bigint, drug_id bigint, "
             "visit_date timestamp_ntz, dispensation_date date, posology string, number_day double, "
             "voided int, last_updated_date timestamp_ntz, date_updated timestamp_ntz",
+            optional="encounter_id",
         ),
         _contract(
             "locations",

@@ -83,9 +83,11 @@ def distinct_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*key).distinct()
 
 
-def by_keys(df: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows whose key is among `keys`."""
-    return df.join(keys.select(*key), list(key), "left_semi")
+def by_keys(df: DataFrame, keys: DataFrame, key: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose key is among `keys` (left_anti: is not). A null part equals a null part."""
+    keys = keys.select(*[F.col(k).alias(f"_k_{k}") for k in key])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
+    return df.join(keys, same, how)
 
 
 fetch_by_keys = by_keys  # S4
@@ -93,7 +95,7 @@ fetch_by_keys = by_keys  # S4
 
 def only_left(a: DataFrame, b: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of `a` whose key is not in `b`."""
-    return a.join(b.select(*key), list(key), "left_anti")
+    return by_keys(a, b, key, "left_anti")
 
 
 def fetch_patients(patient: DataFrame, keys: DataFrame) -> DataFrame:

@@ -112,7 +112,7 @@ def merge(target, patch):
 
 leaf = st.none() | st.booleans() | st.integers(-99, 99) | st.text("ab", max_size=2) | st.lists(st.integers(0, 3), max_size=2)
 name = st.sampled_from(["a", "b", "c"])
-nested = st.dictionaries(name, leaf | st.dictionaries(name, leaf | st.dictionaries(name, leaf, max_size=2), max_size=3))
+nested = st.dictionaries(name, st.recursive(leaf, lambda inner: st.dictionaries(name, inner, max_size=3), max_leaves=12))
 
 
 @settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
@@ -125,6 +125,15 @@ def test_merge_patch_against_the_standard(spark, pairs):
         assert json.loads(row["m"]) == merge(a, b), (a, b)
 
 
+def test_merge_patch_has_no_depth_limit(spark):
+    left, right = {"x": 1, "keep": 2}, {"x": None, "new": 3}
+    for _ in range(60):
+        left, right = {"d": left, "l": 0}, {"d": right}
+    df = spark.createDataFrame([(json.dumps(left), json.dumps(right)), (None, "{}")], "a string, b string")
+    got = [r["m"] for r in df.select(json_merge_patch("a", "b").alias("m")).collect()]
+    assert json.loads(got[0]) == merge(left, right) and got[1] is None
+
+
 DOCS = [
     {"resourceType": "X", "id": "1"},
     {"resourceType": "X", "id": "1", "meta": {"versionId": "3"}},
