@@ -21,9 +21,12 @@ def split_pattern():
     return regex.compile(public_tokenizers.PATTERN)
 
 
-#: The same cuts for texts of usual characters, on which the standard library's classes agree with Unicode's. Letters and
+#: The same cuts for texts of usual characters, whose letters, digits and blanks are few enough to name. Letters and
 #: digits cannot start like the endings after an apostrophe, so they may be tried first.
-_USUAL_PATTERN = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_USUAL_PATTERN = re.compile(
+    rf" ?[{_LETTERS}]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^ \n{_LETTERS}0-9]+|[ \n]+(?![^ \n])|[ \n]+"
+)
 _UNUSUAL = re.compile("[^\\n\\x20-\\x7e\\u00c0-\\u024f]")
 
 
@@ -43,6 +46,10 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+#: Longer keys are not remembered, so that memory stays bounded whatever the texts hold.
+KEY_LENGTH = 64
+
+
 class Remembered(dict):
     """A dict that fills itself by `make`. At `limit` keys it starts anew and takes over what is still asked for."""
 
@@ -51,6 +58,8 @@ class Remembered(dict):
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
+        if len(key) > KEY_LENGTH:
+            return self.make(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
