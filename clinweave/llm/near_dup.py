@@ -5,14 +5,18 @@ labels are sorted over the cluster, so near copies stand next to each other and
 A region holds neighbours whose labels share LEAST values; where it is crowded, its labels are told apart one level
 deeper, region by region.
 
-Candidates come in two rounds. The first ties every member to its region's smallest node at each depth. Pairs are confirmed on full shingle sets and give components. The second round looks into the regions that
-still hold several components: small ones give all pairs across components, crowded ones the nearest neighbours across
-components at each depth. So a group of thousands of near copies costs a few pairs per member.
+Candidates come in three rounds. The first ties every member to its region's smallest node at each depth. Pairs are
+confirmed on full shingle sets and give components. The second looks into the regions that still hold several
+components: small ones give all pairs across components, crowded ones the next places of the sort order at each depth.
+So a group of thousands of near copies costs a few pairs per member. The third compares, on full sets, all members of
+crowded regions that still hold several components with all of other components: blocks of members meet pair by pair,
+so the work is spread, and only links leave a pair of blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,11 @@ LEVELS = 8
 LEAST = 4
 CROWD = 48
 NEIGHBOURS = 4
+#: Weight of a block of the last round: its shingles, and MEMBER for each member.
+BLOCK = 1 << 20
+MEMBER = 4096
+#: Shared shingles of two blocks that are counted at once.
+COLUMNS = 4096
 
 
 def _hash_family(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,6 +210,120 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def block_links(rows: pa.Table, percent: int) -> np.ndarray:
+    """Links (a, b) of two blocks (side 0 and 1), or within one (side 0 alone), that tie their parts together.
+
+    Every pair of different parts is compared on full sets. Of several links that join the same parts one is given.
+    """
+    rows = rows.combine_chunks()
+    node, part, side = (rows.column(c).to_numpy() for c in ("node", "part", "side"))
+    sets = rows.column("shingles").combine_chunks()
+    values, ends = sets.flatten().to_numpy(), np.concatenate(([0], np.cumsum(sets.value_lengths().to_numpy())))
+    owner = np.repeat(np.arange(len(node)), np.diff(ends))
+    left = np.flatnonzero(side == 0)
+    right = np.flatnonzero(side == 1) if side.any() else left
+    sizes = np.diff(ends)
+    # shingles of both sides, numbered
+    _, names = np.unique(values, return_inverse=True)
+    one, two = np.isin(owner, left), np.isin(owner, right)
+    held = np.bincount(names[one], minlength=len(values)) > 0
+    held &= np.bincount(names[two], minlength=len(values)) > 0
+    number = np.cumsum(held) - 1
+    place = np.zeros(len(node), np.int64)
+    common = np.zeros((len(left), len(right)))
+
+    def spread(mine: np.ndarray, ids: np.ndarray, first: int) -> np.ndarray:
+        place[mine] = np.arange(len(mine))
+        among = np.isin(owner, mine) & held[names]
+        at, column = place[owner[among]], number[names[among]] - first
+        inside = (column >= 0) & (column < COLUMNS)
+        matrix = np.zeros((len(mine), COLUMNS), np.float32)
+        matrix[at[inside], column[inside]] = 1
+        return matrix
+
+    for first in range(0, int(held.sum()), COLUMNS):
+        common += spread(left, names, first) @ spread(right, names, first).T
+    union = sizes[left][:, None] + sizes[right][None, :] - common
+    hits = (100 * common >= percent * union) & (part[left][:, None] != part[right][None, :])
+    top = {p: p for p in part.tolist()}
+
+    def root(p: int) -> int:
+        while top[p] != p:
+            top[p] = p = top[top[p]]
+        return p
+
+    found = []
+    for x, y in zip(*(k.tolist() for k in np.nonzero(hits)), strict=True):
+        a, b = left[x], right[y]
+        one_root, two_root = root(int(part[a])), root(int(part[b]))
+        if one_root != two_root:
+            top[one_root] = two_root
+            found.append((min(node[a], node[b]), max(node[a], node[b])))
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
+def _block_links(percent: int):
+    def run(rows: pa.Table) -> pa.Table:
+        found = block_links(rows, percent)
+        return pa.table({"a": found[:, 0], "b": found[:, 1]})
+
+    return run
+
+
+def crowded(signs: DataFrame) -> DataFrame:
+    """(tree, prefix, node) of the members of all regions of more than CROWD classes; `signs` is (node, sign)."""
+    labels = signs.withColumn("part", F.col("node")).mapInArrow(_labels, "tree int, label binary, node bigint, part bigint")
+    labels = labels.select("tree", F.substring("label", 1, 2 * LEAST).alias("prefix"), "node")
+    large = labels.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where(F.col("n") > CROWD).drop("n")
+    return written(labels.join(large, ["tree", "prefix"]), "near-crowded")
+
+
+def families(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(family, node, part) of the members of crowded regions that hold several components. A family is what such regions
+    reach by shared members: every pair of a region is in one family, and a pair that meets in several trees only once.
+    """
+    parts = members.join(groups, "node", "left").select("tree", "prefix", "node", F.coalesce("component", "node").alias("part"))
+    mixed = parts.groupBy("tree", "prefix").agg(F.min("node").alias("hub"), F.min("part").alias("low"), F.max("part").alias("high"))
+    mixed = mixed.where("low < high").select("tree", "prefix", "hub")
+    tied = checkpointed(parts.join(mixed, ["tree", "prefix"]).select(F.col("hub").alias("a"), F.col("node").alias("b"), "part").distinct())
+    reached = components(tied.select("a", "b"))
+    named = tied.select(F.col("b").alias("node"), "part").distinct().join(reached, "node")
+    return checkpointed(named.select(F.col("component").alias("family"), "node", "part"))
+
+
+def links_between(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that tie together the parts of each family (family, node, part), from all pairs of different parts.
+
+    A part that fills a block has blocks of its own, which do not meet each other; the others share blocks. Blocks hold
+    sets of one size class, and classes meet that are near enough for the threshold.
+    """
+    step = math.log(100 / max(percent, 1)) * (1 + 1e-6) + 1e-6
+    rows = members.join(sets, "node").withColumn("class", F.floor(F.ln(F.size("shingles").cast("double")) / step))
+    rows = rows.withColumn("weight", F.size("shingles").cast("long") + MEMBER)
+    key = ["family", "class"]
+    weighed = rows.groupBy(*key, "part").agg(F.sum("weight").alias("weight"))
+    weighed = checkpointed(weighed.withColumn("own", F.when(F.col("weight") >= BLOCK, F.col("part"))))
+    count = F.ceil(F.sum("weight") / F.lit(BLOCK)).cast("int")
+    owners = checkpointed(weighed.groupBy(*key, F.coalesce("own", F.lit(-1)).alias("own"), F.col("own").isNull().alias("pool")).agg(count.alias("n")))
+    blocks = owners.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
+        "family", "class", "own", "pool", "k", F.struct("class", "pool", "own", "k").alias("block")
+    )
+    other = blocks.select("family", *(F.col(c).alias(f"{c}2") for c in ("class", "own", "pool", "k", "block")))
+    apart = F.expr("not (not pool and not pool2 and own = own2) and block <= block2 and abs(class - class2) <= 1")
+    pairs = blocks.join(other, "family").where(apart).select("family", "block", "block2")
+    ends = pairs.select("family", "block", "block2", F.lit(0).alias("side"), F.col("block").alias("mine")).union(
+        pairs.where("block <> block2").select("family", "block", "block2", F.lit(1), F.col("block2"))
+    )
+    owned = weighed.select(*key, "part", F.coalesce("own", F.lit(-1)).alias("own"), F.col("own").isNull().alias("pool"))
+    dealt = rows.join(owned, [*key, "part"]).join(owners, [*key, "own", "pool"])
+    # whole parts of a pool stay together, so that a block of one part needs no look inside
+    k = F.pmod(F.xxhash64(F.when(F.col("pool"), F.col("part")).otherwise(F.col("node"))), F.col("n")).cast("int")
+    dealt = dealt.withColumn("k", k).withColumn("mine", F.struct("class", "pool", "own", "k"))
+    meet = dealt.select("family", "mine", "node", "part", "shingles").join(ends, ["family", "mine"])
+    meet = meet.select("family", "block", "block2", "side", "node", "part", "shingles")
+    return meet.groupBy("family", "block", "block2").applyInArrow(_block_links(percent), "a bigint, b bigint")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of `docs` (doc_id bigint, text): doc_id, n_shingles, component_id, kept.
 
@@ -253,7 +376,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     left = apart(pairs.join(best, ["a", "b"], "left_anti").select("a", "b"), groups).union(alike(across).select("a", "b"))
     left = checkpointed(left)
     if not left.isEmpty():
-        groups = components(links.union(_confirmed(left, with_sets(left), percent)))
+        links = checkpointed(links.union(_confirmed(left, with_sets(left), percent)))
+        groups = components(links)
+    # last, what crowded regions still hold apart
+    members = families(crowded(signs), groups)
+    if not members.isEmpty():
+        ends = members.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        groups = components(links.union(links_between(members, with_sets(ends), percent)))
     named = classes.select("print", "node").join(groups, "node", "left")
     named = named.select("print", F.coalesce("component", "node").alias("component_id"))
     return (

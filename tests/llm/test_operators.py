@@ -80,6 +80,36 @@ def test_near_duplicates(docs, none):
     assert near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_in_a_crowd_below_the_threshold(spark):
+    """Pages of one template, alike but not enough, with pairs among them that are: every pair is found, no other."""
+    words, dice = [f"w{k}" for k in range(200)], random.Random(3)
+
+    def changed(page: list[str], places: list[int], name: str) -> list[str]:
+        page = list(page)
+        for place in places:
+            page[place] = f"{name}x{place}"
+        return page
+
+    texts = {}
+    for k in range(900):
+        places = sorted(dice.sample(range(39), 8))
+        page = changed(words, [5 * place for place in places[::2]], f"p{k}")
+        texts[1000 + (k * 7919) % 900] = " ".join(page)
+        if k % 6 == 0:
+            texts[5000 + (k * 4999) % 900] = " ".join(changed(page, [5 * place for place in places[1::2]], f"q{k}"))
+    sets, group = {i: shingles(t, 5) for i, t in texts.items()}, {i: i for i in texts}
+    for a in sorted(sets):
+        for b in sets:
+            if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                old, new = max(group[a], group[b]), min(group[a], group[b])
+                group = {i: new if g == old else g for i, g in group.items()} if old != new else group
+    assert sum(group[i] != i for i in group) >= 100 and len(set(group.values())) > 400
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = known(near_duplicates(docs, 5, 80))
+    wrong = {i for i, row in found.items() if row["component_id"] != group[i]}
+    assert not wrong and len(found) == len(texts)
+
+
 @pytest.mark.parametrize("budget", [300, 10**8])
 def test_exact_duplicates(docs, none, budget):
     found, texts = exact_duplicates(docs, "largest", budget), by_id()
