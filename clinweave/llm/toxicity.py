@@ -2,7 +2,7 @@
 
 A noisy channel turns a word into what is read: letters become look-alike digits and signs, are spread out by separators,
 or are repeated. Suspicious spans are decoded by Viterbi over the lattice of letters each character may stand for, under
-a trigram character model whose counts come from all documents. The restored text is scored by a logistic model over its
+a character model of order four whose counts come from all documents. The restored text is scored by a logistic model over its
 words and word beginnings.
 """
 
@@ -51,28 +51,31 @@ _BYTE[0x80:0xC0] = 255
 LOOKALIKE_COST, SIGN_COST, REPEAT_COST = 0.7, 7.0, 0.7
 
 
-def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(_SIZE**3, np.int64)
+def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(_SIZE**4, np.int64)
     for piece in pieces(batches):
         data, offsets = text_bytes(piece.column("text"))
         codes = _BYTE[np.insert(data, offsets, 0x20)]
         codes = codes[codes != 255]
-        if len(codes) > 2:
-            total += np.bincount((codes[:-2] * _SIZE + codes[1:-1]) * _SIZE + codes[2:], minlength=_SIZE**3)
+        if len(codes) > 3:
+            grams = ((codes[:-3] * _SIZE + codes[1:-2]) * _SIZE + codes[2:-1]) * _SIZE + codes[3:]
+            total += np.bincount(grams, minlength=_SIZE**4)
     seen = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["gram", "n"])
 
 
 def character_model(docs: DataFrame) -> np.ndarray:
-    """Log probability of a letter after two others, from the trigrams of all texts (28 ** 3 numbers)."""
-    counts = np.zeros(_SIZE**3)
-    for gram, n in docs.select("text").mapInArrow(_count_trigrams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n")).collect():
-        counts[gram] = n
-    three = counts.reshape(_SIZE, _SIZE, _SIZE)
+    """Log probability of a letter after three others, from the runs of four in all texts (28 ** 4 numbers)."""
+    counts = np.zeros(_SIZE**4)
+    grams = docs.select("text").mapInArrow(_count_grams, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    counts[grams.column("gram").to_numpy()] = grams.column("n").to_numpy()
+    four = counts.reshape(_SIZE, _SIZE, _SIZE, _SIZE)
+    three = four.sum(axis=0)
     two = three.sum(axis=0)
     one = (two.sum(axis=0) + 1) / (two.sum() + _SIZE)
     after_one = (two + 20 * one) / (two.sum(axis=1, keepdims=True) + 20)
-    return np.log((three + 5 * after_one) / (three.sum(axis=2, keepdims=True) + 5))
+    after_two = (three + 5 * after_one) / (three.sum(axis=2, keepdims=True) + 5)
+    return np.log((four + 5 * after_two) / (four.sum(axis=3, keepdims=True) + 5))
 
 
 @lru_cache(maxsize=4096)
@@ -86,27 +89,32 @@ def _choices(sign: str) -> tuple[tuple[str, int, float], ...]:
     return (*stand, (sign, 0, SIGN_COST))
 
 
-def decode(word: str, model: np.ndarray) -> str:
-    """The likeliest word behind `word` (lower case, separators taken out).
+def decode(word: str, model: np.ndarray, separator: str = "") -> str:
+    """The likeliest words behind `word` (lower case).
 
-    States are the last two letters written; a character may also be a repetition of the last letter, which writes none.
+    States are the last three letters written; a character may also be a repetition of the last letter, which writes
+    none. A separator may stand for nothing or for the end of a word; what the model makes of it decides.
     """
-    states = {("", 0, 0): (0.0, None)}  # (last character, code before, last code) -> (cost, path as linked list)
+    # (last character, last three codes) -> (cost, path as linked list)
+    states = {("", 0, 0, 0): (0.0, None)}
     for sign in word:
-        after: dict[tuple, tuple] = {}
-        for (last, one, two), (cost, path) in states.items():
-            for letter, code, price in _choices(sign):
-                total = cost + price - model[one, two, code]
-                key = (letter, two, code)
+        apart = sign == separator
+        after: dict[tuple, tuple] = dict(states) if apart else {}
+        choices = (("", 0, 0.0),) if apart else _choices(sign)
+        for (last, one, two, three), (cost, path) in states.items():
+            for letter, code, price in choices:
+                total = cost + price - model[one, two, three, code]
+                key = (letter, two, three, code)
                 if key not in after or total < after[key][0]:
-                    after[key] = (total, (path, letter))
+                    after[key] = (total, (path, letter or " "))
                 if letter == last and code:
                     total = cost + price + REPEAT_COST
-                    key = (last, one, two)
+                    key = (last, one, two, three)
                     if key not in after or total < after[key][0]:
                         after[key] = (total, path)
         states = after
-    path = min(((cost - model[one, two, 0], path) for (_, one, two), (cost, path) in states.items()), key=lambda x: x[0])[1]
+    ends = ((cost - model[one, two, three, 0], path) for (_, one, two, three), (cost, path) in states.items())
+    path = min(ends, key=lambda x: x[0])[1]
     letters = []
     while path:
         path, letter = path
@@ -128,20 +136,15 @@ class Restorer:
 
     def __init__(self, model: np.ndarray):
         self.known = Remembered(lambda word: decode(word, model), 200_000)
+        self.spans = Remembered(lambda span: decode(span, model, span[1]), 200_000)
 
     def _token(self, match: re.Match) -> str:
         token = match.group().rstrip("!")
         marks = match.group()[len(token) :]
-        if _AGAIN.search(token) or _SIGN.search(token):
-            return self.known[token[:200]] + self._long(token[200:]) + marks
-        return token + marks
-
-    def _long(self, rest: str) -> str:
-        return "".join(self.known[rest[k : k + 200]] for k in range(0, len(rest), 200))
+        return (self.known[token] if _AGAIN.search(token) or _SIGN.search(token) else token) + marks
 
     def _spread(self, match: re.Match) -> str:
-        letters = match.group().replace(match.group(1), "")
-        return self.known[letters[:200]] + self._long(letters[200:])
+        return self.spans[match.group()]
 
     def restore(self, text: str) -> str:
         """Lower-case text with suspicious spans replaced by what they stand for."""
@@ -275,7 +278,7 @@ def toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
     null ids are scored like others; no other column than the text enters the score.
     """
     ship_package(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 28 ** 3 numbers and MAX_FEATURES weights at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 28 ** 4 numbers and MAX_FEATURES weights at most
     docs = docs.drop("score", "predicted").withColumn("text", F.col("text").cast("string"))
     scored = docs.mapInArrow(_score(shared), StructType([*docs.schema.fields, StructField("score", DoubleType())]))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

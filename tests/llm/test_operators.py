@@ -259,6 +259,17 @@ def test_toxicity(spark, none):
     assert toxicity(none, flat).count() == 0 and flat.score(set()) == 0.5
 
 
+def test_spaced_words_are_told_apart(spark):
+    said = ["you are such a stupid idiot and a liar", "a stupid trash idiot", "an idiot, such a trash", "stupid, idiot. a liar"]
+    texts = [(k, said[k % 4] + " " + prose(20)) for k in range(200)]
+    restore = Restorer(character_model(spark.createDataFrame(texts, "doc_id long, text string"))).restore
+    assert restore("such a i d i o t") == "such a idiot"
+    assert restore("s t u p i d i d i o t") == "stupid idiot"
+    assert restore("such a s.t.u.p.i.d.t.r.a.s.h") == "such a stupid trash"
+    assert restore(" ".join("stupididiot" * 30)).split() == ["stupid", "idiot"] * 30  # over 200 letters
+    assert restore("s" * 199 + "tuuu" + "pid") == "stupid"
+
+
 @pytest.mark.parametrize("block", [10**6, 2000])
 def test_find_items(spark, docs, none, block):
     words = LONG.split()
