@@ -149,7 +149,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, size: int = 5, percent: in
     ship_package(spark)
     sets = benchmark.select(F.col("item_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         _item_sets(size), "item_id bigint, short int, grams binary, sketch binary"
-    )
+    ).distinct()  # repeated items would all be dealt to one block
     weight = sets.agg(F.sum(F.octet_length("grams") + 512)).first()[0] or 0
     blocks = -(-weight // block_bytes)
     kind = "array<struct<item_id:bigint,n_item:bigint,n_common:bigint>>"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clinweave.llm import simple8b
 from clinweave.llm.byte_bpe import PrefixCoder, PrefixText, encode_decode
-from clinweave.llm.decontaminate import find_items
+from clinweave.llm.decontaminate import ItemIndex, find_items
 from clinweave.llm.exact_dedup import PatriciaTrie, drop_exact_duplicates, exact_duplicates
 from clinweave.llm.near_dup import near_duplicates
 from clinweave.llm.pii import EXAMPLES, added_spans, base_spans, labelled, personal_data, train
@@ -270,6 +270,20 @@ def test_spaced_words_are_told_apart(spark):
     assert restore("s" * 199 + "tuuu" + "pid") == "stupid"
 
 
+def test_repeated_items_reach_the_driver_once(spark, docs, monkeypatch):
+    held, make = [], ItemIndex.__init__
+
+    def index(self, rows, percent):
+        held.append(len(rows))
+        make(self, rows, percent)
+
+    monkeypatch.setattr(ItemIndex, "__init__", index)
+    items = [(5, BASE[3])] * 60 + [(6, BASE[4]), (7, BASE[3])]
+    found = known(find_items(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=10**6))
+    assert sum(held) == 3
+    assert {m["item_id"] for m in found[3 * TEXTS.index(BASE[3]) + 1]["matches"]} == {5, 7}
+
+
 @pytest.mark.parametrize("block", [10**6, 2000])
 def test_find_items(spark, docs, none, block):
     words = LONG.split()
