@@ -9,7 +9,7 @@ document is its shard's offset, its block's and its own.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from decimal import Decimal
 from functools import lru_cache
 
@@ -47,7 +47,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=2)
-def _coder(path: str) -> TextCoder:
+def _coder(path: str) -> Callable[[str], bytes]:
     """Ids by the library's model; what it has encoded is kept for the worker's life."""
     tokenizer = load_tokenizer(path)
     tokenize, letters = tokenizer.model.tokenize, _byte_letters()
@@ -62,7 +62,14 @@ def _coder(path: str) -> TextCoder:
             written = piece.encode().decode("latin-1").translate(letters)
         return b"".join([coded[t.id] for t in tokenize(written)])
 
-    return TextCoder(ids)
+    every, marks = TextCoder(ids).code, [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+
+    def code(text: str) -> bytes:
+        if any(mark in text for mark in marks):  # an added token cuts the text before pre-tokens do
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return every(text)
+
+    return code
 
 
 def _block(shard: int, block: int, first: int, names: list, coded: list[bytes]) -> pa.RecordBatch:
@@ -75,7 +82,7 @@ def _block(shard: int, block: int, first: int, names: list, coded: list[bytes])
 
 def _encode(path: str, end_id: int, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = _coder(path).code
+        code = _coder(path)
         end = end_id.to_bytes(4, "little")
         shard, block, first, size = TaskContext.get().partitionId(), 0, 0, 0
         names, coded = [], []
@@ -101,7 +108,7 @@ def write_tokens(
     """Encode `docs` (doc_id bigint, text) and write the file set to `path`, which must not exist.
 
     A null or empty text is the end id alone. Rows of one doc_id follow each other in text order; null ids come first.
-    Texts of special tokens are ordinary text. An empty table gives an empty file set.
+    Texts of added tokens get their ids, as the library gives them. An empty table gives an empty file set.
     """
     ship_package(docs.sparkSession)
     vocabulary = tokenizer or default_path("byte_bpe_50k.json")

@@ -41,9 +41,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def load_tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
 
 
 #: Longer keys are not remembered, so that memory stays bounded whatever the texts hold.

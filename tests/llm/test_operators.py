@@ -259,6 +259,16 @@ def test_toxicity(spark, none):
     assert toxicity(none, flat).count() == 0 and flat.score(set()) == 0.5
 
 
+def test_token_files_follow_the_library_on_added_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext> no mark", "plain"]
+    write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), f"file://{tmp_path}/marks")
+    plain = Tokenizer.from_file(default_path("byte_bpe_50k.json"))
+    found = {r["doc_id"]: list(r["ids"]) for r in read_documents(spark, f"file://{tmp_path}/marks", ids=True).collect()}
+    assert found == {k: [*plain.encode(t, add_special_tokens=False).ids, 2] for k, t in enumerate(texts)}
+
+
 def test_spaced_words_are_told_apart(spark):
     said = ["you are such a stupid idiot and a liar", "a stupid trash idiot", "an idiot, such a trash", "stupid, idiot. a liar"]
     texts = [(k, said[k % 4] + " " + prose(20)) for k in range(200)]
