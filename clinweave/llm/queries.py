@@ -10,6 +10,7 @@ from clinweave.llm.decontaminate import find_items
 from clinweave.llm.exact_dedup import exact_duplicates
 from clinweave.llm.near_dup import near_duplicates
 from clinweave.llm.pii import personal_data
+from clinweave.llm.simhash import simhash_groups
 from clinweave.llm.substring_dedup import dedup_substrings
 from clinweave.llm.token_counts import edited_counts, with_edits
 from clinweave.llm.token_files import tokens_round_trip
@@ -90,11 +91,17 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    grouped = simhash_groups(_table(spark, folder, "documents"), size=3, bits=3)
+    return grouped.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_exact_duplicates, op3_token_counts, op4_token_files, op5_personal_data,
         op6_substring_dedup, op7_url_filter, op8_byte_bpe, op9_toxicity, op10_decontamination,
+        op13_simhash,
     )
 }
 
