@@ -11,6 +11,7 @@ from clinweave.llm.exact_dedup import exact_duplicates
 from clinweave.llm.near_dup import near_duplicates
 from clinweave.llm.pii import personal_data
 from clinweave.llm.simhash import simhash_groups
+from clinweave.llm.spelling import spelling_groups
 from clinweave.llm.substring_dedup import dedup_substrings
 from clinweave.llm.token_counts import edited_counts, with_edits
 from clinweave.llm.token_files import tokens_round_trip
@@ -91,6 +92,11 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling_groups(_table(spark, folder, "documents"), least=7, occurrences=2, times=10, damage=31)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     grouped = simhash_groups(_table(spark, folder, "documents"), size=3, bits=3)
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -101,7 +107,7 @@ QUERIES = {
     for f in (
         op1_near_duplicates, op2_exact_duplicates, op3_token_counts, op4_token_files, op5_personal_data,
         op6_substring_dedup, op7_url_filter, op8_byte_bpe, op9_toxicity, op10_decontamination,
-        op13_simhash,
+        op11_spelling_variants, op13_simhash,
     )
 }
 
@@ -171,4 +177,25 @@ o AS (SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORD
       FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY doc_id)
 SELECT d.doc_id, o.n IS NOT NULL AS contaminated, coalesce(o.n, 0) AS n_items, coalesce(o.t, '') AS item_ids
 FROM documents AS d LEFT JOIN o ON d.doc_id = o.doc_id""",
+    # crc32 by its table; a letter beyond U+007F has two bytes
+    "op11_spelling_variants": r"""
+WITH RECURSIVE t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+o AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+u AS (SELECT doc_id, run, count(*) AS n FROM o GROUP BY ALL),
+b AS (SELECT run, n, flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + unicode(c) % 64] END)) AS bytes FROM u),
+c AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, t[1 + xor(c, x) % 256])), 4294967295) AS h FROM b, t),
+x AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM c),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM x WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS k FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word, b.word AS other, b.n AS m FROM d AS a JOIN d AS b ON a.k = b.k AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, b.word, b.n FROM d AS a JOIN w AS b ON a.k = b.word
+      UNION SELECT b.word, a.word, a.n FROM d AS a JOIN w AS b ON a.k = b.word),
+s AS (SELECT word, count(*) AS n_near, first(other ORDER BY m DESC, other) AS form, max(m) AS form_n FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form, CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n
+      FROM w LEFT JOIN s ON w.word = s.word),
+r AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT r.word, f.form, step + 1 FROM r JOIN f ON r.root = f.word WHERE f.form IS NOT NULL),
+z AS (SELECT word, arg_max(root, step) AS root FROM r GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON f.word = z.word""",
 }
