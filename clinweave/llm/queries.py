@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinweave.llm.byte_bpe import encode_decode
+from clinweave.llm.collocations import collocations
 from clinweave.llm.decontaminate import find_items
 from clinweave.llm.exact_dedup import exact_duplicates
 from clinweave.llm.near_dup import near_duplicates
@@ -97,6 +98,10 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"), longest=4, least=30, top=2000, cover=80)
+
+
 def op13_simhash(spark: SparkSession, folder: str) -> DataFrame:
     grouped = simhash_groups(_table(spark, folder, "documents"), size=3, bits=3)
     return grouped.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -107,7 +112,7 @@ QUERIES = {
     for f in (
         op1_near_duplicates, op2_exact_duplicates, op3_token_counts, op4_token_files, op5_personal_data,
         op6_substring_dedup, op7_url_filter, op8_byte_bpe, op9_toxicity, op10_decontamination,
-        op11_spelling_variants, op13_simhash,
+        op11_spelling_variants, op12_collocations, op13_simhash,
     )
 }
 
@@ -198,4 +203,23 @@ f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10
 r AS (SELECT word, word AS root, 0 AS step FROM f UNION ALL SELECT r.word, f.form, step + 1 FROM r JOIN f ON r.root = f.word WHERE f.form IS NOT NULL),
 z AS (SELECT word, arg_max(root, step) AS root FROM r GROUP BY word)
 SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON f.word = z.word""",
+    "op12_collocations": r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+u AS (SELECT lang, phrase, a, w, k, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT u.lang, u.phrase, a, cut, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+      FROM u JOIN f AS x ON x.lang = u.lang AND x.phrase = array_to_string(list_slice(w, 1, cut), ' ')
+             JOIN f AS y ON y.lang = u.lang AND y.phrase = array_to_string(list_slice(w, cut + 1, u.k), ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS pos FROM c, (SELECT unnest([2, 3]) AS m) WHERE m < k),
+j AS (SELECT lang, array_to_string(list_slice(w, pos, pos + m - 1), ' ') AS phrase, max(a) AS longer FROM i GROUP BY ALL),
+z AS (SELECT b.lang, b.phrase, a, l, r, score FROM b LEFT JOIN j ON b.lang = j.lang AND b.phrase = j.phrase WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN t ON o.lang = t.lang WHERE rank <= 2000""",
 }
