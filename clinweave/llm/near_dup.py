@@ -6,8 +6,8 @@ A region holds neighbours whose labels share LEAST values; where it is crowded,
 deeper, region by region.
 
 Candidates come in three rounds. The first ties every member to its region's smallest node at each depth. Pairs are
-confirmed on full shingle sets and give components. The second looks into the regions that still hold several
-components: small ones give all pairs across components, crowded ones the next places of the sort order at each depth.
+confirmed on full shingle sets and give components. The second takes the regions
+of at most CROWD members that still hold several components, and gives all pairs across components.
 So a group of thousands of near copies costs a few pairs per member. The third compares, on full sets, all members of
 crowded regions that still hold several components with all of other components: blocks of members meet pair by pair,
 so the work is spread, and only links leave a pair of blocks.
@@ -33,7 +33,6 @@ TREES = 16
 LEVELS = 8
 LEAST = 4
 CROWD = 48
-NEIGHBOURS = 4
 #: Weight of a block of the last round: its shingles, and MEMBER for each member.
 BLOCK = 1 << 20
 MEMBER = 4096
@@ -104,8 +103,9 @@ def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def region_pairs(trees: np.ndarray, labels: np.ndarray, nodes: np.ndarray, parts: np.ndarray, across: bool) -> np.ndarray:
     """Candidate pairs (a, b), a < b, of one sorted run; `labels` has one row of LEVELS values per class.
 
-    The first round (not `across`) ties members to the smallest node of their region. The second gives pairs of different parts: all in regions of at most CROWD members, the NEIGHBOURS next ones in others. Only
-    crowded regions are split at the next depth.
+    The first round (not `across`) ties members to the smallest node of their region, and splits crowded regions at the
+    next depth. The second gives all pairs of different parts in regions of at most CROWD members; larger ones are
+    compared in full by the third round, and give none here.
     """
     count = len(nodes)
     if count < 2:
@@ -114,24 +114,20 @@ def region_pairs(trees: np.ndarray, labels: np.ndarray, nodes: np.ndarray, parts
     shared = np.where(trees[1:] == trees[:-1], np.cumprod(same, axis=1).sum(axis=1), -1)
     found, active = [np.zeros((0, 2), np.int64)], np.ones(count, bool)
 
-    def near(among: np.ndarray, region: np.ndarray, most: int) -> None:
-        for step in range(1, min(most, count - 1) + 1):
-            at = np.flatnonzero(among[:-step] & (region[step:] == region[:-step]))
-            if not len(at):
-                return
-            at = at[parts[at] != parts[at + step]]
-            found.append(np.stack([nodes[at], nodes[at + step]], 1))
-
-    for depth in range(LEAST, LEVELS + 1):
+    for depth in range(LEAST, LEAST + 1 if across else LEVELS + 1):
         joined = (shared >= depth) & active[1:] & active[:-1]
         region = np.concatenate(([0], np.cumsum(~joined)))
         heads = np.flatnonzero(np.concatenate(([True], ~joined)))
         sizes = np.diff(np.append(heads, count))[region]
         crowded = active & (sizes > CROWD)
-        small = active & (sizes > 1) & ~crowded
         if across:
-            near(small, region, CROWD)
-            near(crowded, region, NEIGHBOURS)
+            small = active & (sizes > 1) & ~crowded
+            for step in range(1, min(CROWD, count - 1) + 1):
+                at = np.flatnonzero(small[:-step] & (region[step:] == region[:-step]))
+                if not len(at):
+                    break
+                at = at[parts[at] != parts[at + step]]
+                found.append(np.stack([nodes[at], nodes[at + step]], 1))
         else:
             hubs = np.minimum.reduceat(nodes, heads)[region]
             at = np.flatnonzero(active & (sizes > 1))
