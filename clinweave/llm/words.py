@@ -1,7 +1,8 @@
 """Words, shingles and windows of text batches as numpy arrays.
 
 Words are maximal runs of bytes other than space and \\t\\n\\v\\f\\r. A null text has no words. Hashes are computed
-for a whole batch at once from prefix sums of a polynomial over the bytes, so no Python code runs per word.
+for a whole batch at once, so no Python code runs per word: every byte has a random value at every place of a word, and a
+word's hash mixes the sum of its bytes' values. (A polynomial modulo 2**64 would give some long repetitive words one hash.)
 """
 
 from __future__ import annotations
@@ -34,9 +35,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Places of a word with byte values of their own; further places take them again, each block by a factor of its own.
+PLACES = 64
+
+
 @lru_cache(maxsize=4)
 def _byte_values(seed: int) -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD[seed]))
+    """A value for every byte at every place, by 256 * place + byte."""
+    return mix(mix(np.arange(1, 256 * PLACES + 1, dtype=np.uint64) * np.uint64(_ODD[seed % 2])) + np.uint64(seed))
 
 
 @lru_cache(maxsize=3)
@@ -73,15 +79,29 @@ class Words:
     first: np.ndarray
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        """Hash of every word, in blocks of bytes so that one very long text needs no table of its own length."""
-        found = np.empty(len(self.starts), np.uint64)
-        values, at = _byte_values(seed), 0
-        while at < len(found):
-            low = self.starts[at]
-            stop = max(at + 1, int(np.searchsorted(self.ends, low + CHUNK_BYTES, side="right")))
-            block = values[self.data[low : self.ends[stop - 1]]]
-            found[at:stop] = span_hashes(block, self.starts[at:stop] - low, self.ends[at:stop] - low, seed)
-            at = stop
+        """Hash of every word. Words go from long to short, so that those with a byte at a place are the first ones."""
+        values, size = _byte_values(seed), self.ends - self.starts
+        order = np.argsort(-np.minimum(size, PLACES).astype(np.int16), kind="stable")
+        at, length = self.starts[order], size[order]
+        total = length.astype(np.uint64) * np.uint64(_ODD[1 - seed % 2])
+        longer = np.cumsum(np.bincount(np.minimum(size, PLACES), minlength=PLACES + 1)[::-1])[::-1]
+        for place in range(PLACES):
+            count = int(longer[place + 1])
+            if not count:
+                break
+            total[:count] += values[256 * place : 256 * place + 256][self.data[at[:count] + place]]
+        long = np.flatnonzero(length[: int(longer[PLACES])] > PLACES)
+        while len(long):  # blocks of words, so that many long ones need no table of their own length
+            stop = max(1, int(np.searchsorted(np.cumsum(length[long]), CHUNK_BYTES, side="right")))
+            mine, long = long[:stop], long[stop:]
+            rest = length[mine] - PLACES
+            first = np.cumsum(rest) - rest
+            place = np.arange(int(rest.sum())) - np.repeat(first, rest) + PLACES
+            parts = values[((place % PLACES) << 8) | self.data[np.repeat(at[mine], rest) + place]]
+            parts *= mix((place // PLACES).astype(np.uint64) * np.uint64(_ODD[1])) | np.uint64(1)
+            total[mine] += np.add.reduceat(parts, first)
+        found = np.empty(len(size), np.uint64)
+        found[order] = mix(total)
         return found
 
     @property

@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from clinweave.llm.token_files import read_documents, write_tokens
 from clinweave.llm.toxicity import Restorer, character_model, fit, toxicity
 from clinweave.llm.url_filter import DigestArray, judge_urls
 from clinweave.llm.vocab import default_path, load_ranks, load_tokenizer, split_pattern
+from clinweave.llm.words import words_of
 
 rnd = random.Random(7)
 WORDS = [a + b for a in ("th", "er", "ing", "na", "So") for b in ("a", "en", "is.", "ou", "tion,")]
@@ -315,3 +317,21 @@ def test_find_items(spark, docs, none, block):
             want |= {item} if inside else set()
         assert {m["item_id"] for m in found[i]["matches"]} == want
     assert find_items(none, benchmark).count() == 0 and find_items(docs, benchmark.limit(0)).where("contaminated").count() == 0
+
+
+def test_repetitive_long_words_are_told_apart(spark):
+    """Two words of 2,048 letters that a polynomial modulo 2**64 cannot tell apart, whatever its odd base."""
+    one, two = "x", "y"
+    for _ in range(11):
+        one, two = one + two, two + one
+    hashes = words_of(pa.array([f"{one} {two}", "q" * 63, "q" * 64, "q" * 65, "q" * 128, "ab ba"])).hashes()
+    assert len(set(hashes.tolist())) == len(hashes)
+    tail = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, one), (2, two), (3, f"{one} {tail}"), (4, f"{two} {tail[:-4]}"), (5, " ".join([one] * 60)), (6, " ".join([two] * 60))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = known(near_duplicates(docs, 3, 85))
+    assert {i: r["component_id"] for i, r in found.items()} == {1: 1, 2: 2, 3: 3, 4: 3, 5: 5, 6: 6}
+    assert {i: r["n_removed"] for i, r in known(dedup_substrings(docs)).items()} == {1: 0, 2: 0, 3: 0, 4: 59, 5: 0, 6: 0}
+    items = spark.createDataFrame([(1, one), (2, " ".join([two] * 8))], "item_id bigint, text string")
+    matches = {r["doc_id"]: sorted(m["item_id"] for m in r["matches"]) for r in find_items(docs, items).collect()}
+    assert matches == {1: [1], 2: [], 3: [1], 4: [], 5: [1], 6: [2]}
