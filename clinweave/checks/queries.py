@@ -5,9 +5,14 @@ Documents are compared through columns taken out of them; arrays are joined to t
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable
 from datetime import datetime
+from functools import lru_cache
+from urllib.parse import unquote
 
+from pyarrow.fs import FileSelector, FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,11 +30,12 @@ from clinweave.plans.materialize import one_per_key
 from clinweave.plans.mirror import run_totals, sync_all
 from clinweave.plans.models import MODELS, to_table
 from clinweave.plans.models import patient as P
-from clinweave.plans.push import state_of
+from clinweave.plans.push import Outbox, push, retract, state_of
 from clinweave.session import scratch
 from clinweave.settings import Settings
 from clinweave.sources.changes import envelope_keys, parse_envelope
 from clinweave.sources.contracts import struct_of
+from clinweave.sources.inventory import Server, inventory, read_delivered
 from clinweave.sources.snapshots import Store
 from clinweave.sources.tables import Tables, load_seed
 from clinweave.streaming import jobs as J
@@ -738,11 +744,9 @@ def k6_deliver(spark: SparkSession, root: str) -> DataFrame:
 
 def _all_delivered(t, s: Settings) -> DataFrame:
     """Everything ever sent: the models as if no encounter, visit or allergy had been voided."""
-    alive = ("encounter_openmrs", "visit_openmrs", "allergy_openmrs")
-    before = Tables(lambda n: t[n].withColumn("voided", F.lit(0)) if n in alive else t[n], list(t))
     out = None
     for view in ("encounter", "visit", "allergy_intolerance"):
-        rows = to_table(built(before, view, s))
+        rows = to_table(built(_alive(t), view, s))
         part = rows.select(F.lit(R.VIEW_TYPES[view]).alias("resource_type"), "fhir_id", "resource")
         out = part if out is None else out.unionByName(part)
     return out
@@ -782,6 +786,80 @@ def rc4_flagged(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _alive(t) -> Tables:
+    """The tables as if no encounter, visit or allergy had been voided."""
+    alive = ("encounter_openmrs", "visit_openmrs", "allergy_openmrs")
+    return Tables(lambda n: t[n].withColumn("voided", F.lit(0)) if n in alive else t[n], list(t))
+
+
+@query
+def rc2_delivered(spark: SparkSession, root: str) -> DataFrame:
+    """S9, RC2: the inventory after a push: every resource with the delivery that carried it last."""
+    store = Store(spark, scratch(spark, "delivered"))
+    push(store, resource_tables(clinical_tables(spark, root), RECONCILED), RECONCILED)
+    return inventory(store).select("resource_type", "fhir_id", "seq", "flagged")
+
+
+class Shelf:
+    """Documents by type and id, from a folder of JSON lines that Spark wrote by (kind, bucket)."""
+
+    BUCKETS = 64
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def __call__(self, url: str) -> dict | None:
+        kind, key = url.split("/")[-2:]
+        return _shelf(self.folder, kind, zlib.crc32(unquote(key).encode()) % self.BUCKETS).get(unquote(key)) or GONE
+
+    @classmethod
+    def write(cls, docs: DataFrame, folder: str) -> Shelf:
+        bucket = F.pmod(F.crc32(F.col("fhir_id").cast("binary")), F.lit(cls.BUCKETS)).alias("bucket")
+        rows = docs.select(F.col("resource_type").alias("kind"), bucket, F.concat_ws("\t", "fhir_id", "resource").alias("value"))
+        rows.repartition("kind", "bucket").write.partitionBy("kind", "bucket").text(folder)
+        return cls(folder)
+
+
+GONE = {"resourceType": "OperationOutcome"}
+
+
+@lru_cache(maxsize=8)
+def _shelf(folder: str, kind: str, bucket: int) -> dict[str, dict]:
+    files, path = FileSystem.from_uri(folder) if "://" in folder else (LocalFileSystem(), folder.removeprefix("file:"))
+    found = {}
+    for info in files.get_file_info(FileSelector(f"{path}/kind={kind}/bucket={bucket}", allow_not_found=True)):
+        if info.base_name.startswith("part-"):
+            with files.open_input_stream(info.path) as f:
+                found |= {key: json.loads(doc) for key, _, doc in (line.partition("\t") for line in f.read().decode().splitlines())}
+    return found
+
+
+@query
+def rc5_retract(spark: SparkSession, root: str) -> DataFrame:
+    """RC1-RC5: what the source no longer yields is withdrawn, from ids alone; its documents are fetched by id.
+
+    Of the documents out there some are gone (ids that end in 3) and some have become of another type (in 7).
+    """
+    t, store = clinical_tables(spark, root), Store(spark, scratch(spark, "retract"))
+    push(store, resource_tables(_alive(t), RECONCILED), RECONCILED)
+    last = F.substring("fhir_id", -1, 1)
+    other = F.to_json(F.struct(F.lit("Basic").alias("resourceType"), F.col("fhir_id").alias("id")))
+    docs = read_delivered(Outbox(store).log(), RECONCILED).filter(last != "3")
+    shelf = Shelf.write(docs.withColumn("resource", F.when(last == "7", other).otherwise(F.col("resource"))), scratch(spark, "shelf"))
+    server = Server(shelf, "shelf", lists=False, pause=no_pause)
+    retract(store, resource_tables(t, RECONCILED), RECONCILED, server=server)
+    return inventory(store).filter("flagged").select("resource_type", "fhir_id")
+
+
+@query
+def rc7_managed(spark: SparkSession, root: str) -> DataFrame:
+    """RC7, D10: expected ids of the configured views that have a type, of types with all their views at hand."""
+    s = Settings(clinical_views=("visit", "condition", "unheard_of", "allergy_intolerance"))
+    views = resource_tables(clinical_tables(spark, root), s)
+    some = {name: views[name] for name in ("visit", "allergy_intolerance", "condition")}
+    return R.expected_ids(some, s).groupBy("resource_type").agg(F.count("*").alias("ids"))
+
+
 @query
 def rc6_due(spark: SparkSession, root: str) -> DataFrame:
     """RC6: the last order date as the marker of the last run."""

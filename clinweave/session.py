@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Plans here have hundreds of columns; recording the Python line of each costs more than planning them.
     "spark.sql.dataFrameQueryContext.enabled": "false",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # One patient, site or concept may own a large share of the rows; let the join split it even where

@@ -25,6 +25,18 @@ CLINICAL_VIEWS = (
 )
 GLOBAL_VIEWS = ("location",)
 
+# Resource type of each view.
+VIEW_KINDS = {
+    "patient": "Patient",
+    "location": "Location",
+    "encounter": "Encounter",
+    "visit": "Encounter",
+    "observation": "Observation",
+    "allergy_intolerance": "AllergyIntolerance",
+    "condition": "Condition",
+    "medication_request": "MedicationRequest",
+}
+
 EPOCH = datetime(1970, 1, 1)
 
 

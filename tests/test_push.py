@@ -15,7 +15,7 @@ from clinweave.plans.materialize import transform, views_of
 from clinweave.plans.models import MODELS, to_table
 from clinweave.plans.push import Outbox, advance, markers, push, push_patients, reconcile, retract, state_of
 from clinweave.settings import Settings
-from clinweave.sources.inventory import SearchReader, TypePartition, read_delivered, read_delivered_ids, search_source
+from clinweave.sources.inventory import Listing, SearchReader, delivered_ids, read_delivered, search_source
 from tests.conftest import at
 
 # The size check of child arrays has its own tests; without it the plans are half as long.
@@ -177,8 +177,7 @@ def test_second_push_sends_only_the_globals(clinic, store):
     views = views_of(store)
     sent = {(r["resource_type"], r["fhir_id"]) for r in state_of(store).collect()}
     assert sent == {(v, r["fhir_id"]) for v in ("patient", *S.clinical_views) for r in views[v].collect()}
-    log = Outbox(store).log()
-    assert sorted(r["fhir_id"] for r in read_delivered_ids(log, "Observation", S).collect()) == ["o-10", "o-11", "o-12"]
+    assert sorted(r["fhir_id"] for r in delivered_ids(store, "Observation").collect()) == ["o-10", "o-11", "o-12"]
     assert push_patients(store, views["patient"], views, S)["full_ok"] == 2
 
 
@@ -269,27 +268,3 @@ def test_cycle_reports_a_failed_stage_and_goes_on(clinic, store, monkeypatch):
     report = run_cycle(clinic(), store, store, Settings(use_mirror=False), T1)
     assert report.failed == ["transform"] or report.failed == ["transform", "push"]
     assert report.stages["reconcile"] == "skipped"
-
-
-def search_answers():
-    tag = quote(f"{S.source_tag_system}|{S.source_tag_code}", safe="")
-    first = f"http://x/Encounter?_tag={tag}&_elements=id&_count=2"
-    answers = {
-        first: {
-            "entry": [{"resource": {"id": "a"}}, {"resource": {"id": "b"}}],
-            "link": [{"relation": "self", "url": "s"}, {"relation": "next", "url": "http://x/2"}],
-        },
-        "http://x/2": {"entry": [{"resource": {"id": "c"}}, {"resource": {}}, {}], "link": []},
-    }
-    return lambda url: answers.get(url)
-
-
-def test_search_follows_the_next_links(spark):
-    pages, tag = search_answers(), f"{S.source_tag_system}|{S.source_tag_code}"
-    reader = SearchReader(pages, "http://x", ["Encounter", "Condition"], tag, 2)
-    assert [p.kind for p in reader.partitions()] == ["Encounter", "Condition"]
-    assert list(reader.read(TypePartition("Encounter"))) == [("Encounter", "a"), ("Encounter", "b"), ("Encounter", "c")]
-    assert list(reader.read(TypePartition("Condition"))) == []
-    spark.dataSource.register(search_source(spark, pages, S))
-    df = spark.read.format("fhir_search").options(base="http://x", types="Encounter,Condition", page="2").load()
-    assert sorted(r["fhir_id"] for r in df.collect()) == ["a", "b", "c"]
