@@ -16,6 +16,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Collection, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -189,20 +190,31 @@ class GramIndex:
         return names
 
 
+def letter_mask(word: str) -> int:
+    """Which letters a word has once, and which twice, in 32 classes each. One edit changes two bits at most."""
+    mask = 0
+    for letter in word:
+        bit = 1 << ord(letter) % 32
+        mask |= bit << 32 if mask & bit else bit
+    return mask
+
+
 def _lists(frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = GramIndex(frequent.value)
         for batch in batches:
-            rows, keys, turned = [], [], []
+            rows, keys, turned, masks = [], [], [], []
             for k, word in enumerate(batch.column("word").to_pylist()):
+                masks.append(letter_mask(word))
                 for name in index.lists(word):
                     rows.append(k)
                     keys.append(xxhash.xxh32_intdigest(name.encode()) - (1 << 31))
                     turned.append(name[0] == ">")
             at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int32()), pa.array(turned, pa.bool_()), *(batch.column(c).take(at) for c in ("id", "word", "n"))],
-                ["list", "turned", "id", "word", "n"],
+                [pa.array(keys, pa.int32()), pa.array(turned, pa.bool_()), pa.array(np.array(masks, np.uint64).view(np.int64)).take(at),
+                 *(batch.column(c).take(at) for c in ("id", "word", "n"))],
+                ["list", "turned", "mask", "id", "word", "n"],
             )
 
     return run
@@ -215,13 +227,15 @@ def near_words(words: DataFrame) -> DataFrame:
     """
     frequent = words.sparkSession.sparkContext.broadcast(frequent_grams(words))
     listed = written(
-        words.select("id", "word", "n").mapInArrow(_lists(frequent), "list int, turned boolean, id bigint, word string, n bigint"),
+        words.select("id", "word", "n").mapInArrow(_lists(frequent), "list int, turned boolean, mask bigint, id bigint, word string, n bigint"),
         "spelling-lists",
     )
-    other = listed.select("list", "turned", *(F.col(c).alias(f"{c}2") for c in ("id", "word", "n")))
+    other = listed.select("list", "turned", *(F.col(c).alias(f"{c}2") for c in ("mask", "id", "word", "n")))
     # words of one length share their grams' places from both ends; one of them will do
     close = (F.abs(F.length("word") - F.length("word2")) <= 1) & (~F.col("turned") | (F.length("word") != F.length("word2")))
-    pairs = listed.join(other, ["list", "turned"]).where((F.col("id") < F.col("id2")) & close & (F.levenshtein("word", "word2", 1) == 1))
+    # the cheap conditions first: most words of a list have other letters
+    alike = F.bit_count(F.col("mask").bitwiseXOR(F.col("mask2"))) <= 2
+    pairs = listed.join(other, ["list", "turned"]).where((F.col("id") < F.col("id2")) & alike & close & (F.levenshtein("word", "word2", 1) == 1))
     pairs = pairs.select("id", "n", "id2", "n2")
     both = F.array(F.struct("id", F.col("id2").alias("other"), F.col("n2").alias("n")), F.struct(F.col("id2").alias("id"), F.col("id").alias("other"), "n"))
     return pairs.select(F.inline(both))

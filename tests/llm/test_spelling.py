@@ -9,7 +9,7 @@ from collections import Counter
 
 import pytest
 
-from clinweave.llm.spelling import BEGIN, END, LONGEST, SHORTEST, GramIndex, frequent_grams, near_words, run_counts, spelling_groups
+from clinweave.llm.spelling import BEGIN, END, LONGEST, SHORTEST, GramIndex, frequent_grams, letter_mask, near_words, run_counts, spelling_groups
 
 rnd = random.Random(11)
 
@@ -80,6 +80,13 @@ def test_words_one_edit_apart_share_a_list(alphabet, common, count):
     assert pairs > 200
 
 
+def test_one_edit_changes_two_bits_of_the_letters():
+    for w in some_words("abcéé", 200):
+        at, c = rnd.randrange(len(w)), rnd.choice("abcxyz")
+        for x in (w[:at] + w[at + 1 :], w[:at] + c + w[at:], w[:at] + c + w[at + 1 :]):
+            assert (letter_mask(w) ^ letter_mask(x)).bit_count() <= 2
+
+
 def test_decomposition_leaves_no_gram_inside_another():
     words = some_words("abcd", 300)
     index = GramIndex(plain_frequent(words, 10))
