@@ -33,7 +33,8 @@ from clinweave.plans.models import patient as P
 from clinweave.plans.push import Outbox, push, retract, state_of
 from clinweave.session import scratch
 from clinweave.settings import Settings
-from clinweave.sources.changes import envelope_keys, parse_envelope
+from clinweave.sources.access import clustered_store
+from clinweave.sources.changes import envelope_keys, parse_envelope, read_changes
 from clinweave.sources.contracts import struct_of
 from clinweave.sources.inventory import Server, inventory, read_delivered
 from clinweave.sources.snapshots import Store
@@ -953,6 +954,25 @@ def st7_cdc_apply(spark: SparkSession, root: str) -> DataFrame:
     return J.live_rows(mirror, "rows", EVENT_KEY).select("user_id", "event_id", "event_type", "value")
 
 
+@query
+def st6_push_changed(spark: SparkSession, root: str) -> DataFrame:
+    """ST6, ST4, S10: change events of encounters since July 1998, as a stream of files -> full bundles of their patients.
+
+    The mirror is clustered by patient and indexed, so the batch reads the folders of those patients only.
+    """
+    t, since = clinical_tables(spark, root), F.lit(datetime(1998, 7, 1))
+    mirror, store = clustered_store(spark, scratch(spark, "clustered"), buckets=16), Store(spark, scratch(spark, "changed"))
+    results, _ = sync_all(t, mirror, S)
+    if failed := [r for r in results if r.error]:
+        raise RuntimeError(f"tables not copied: {failed}")
+    source = F.struct(F.lit("encounter_openmrs").alias("table"))
+    event = F.struct(F.lit("u").alias("op"), F.lit(1).alias("ts_ms"), source.alias("source"), F.struct("mspp_code", "encounter_id", "patient_id").alias("after"))
+    folder = scratch(spark, "events")
+    t["encounter_openmrs"].filter(F.col("encounter_datetime") >= since).select(F.to_json(event).alias("value")).write.text(folder)
+    J.run_stream(parse_envelope(read_changes(spark, folder)), J.push_changed(lambda: mirror, store, S), scratch(spark, "stream")).awaitTermination()
+    return _entries(store.read("outbox_bundles")).select("lead_url", F.col("e.request.url").alias("url"))
+
+
 @query
 def st1_cycle(spark: SparkSession, root: str) -> DataFrame:
     """ST1, ST2, ST8, DL1-DL9: two cycles driven by a stream, the source edited in between; the push state."""
