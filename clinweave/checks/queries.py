@@ -37,6 +37,7 @@ from clinweave.sources.access import clustered_store
 from clinweave.sources.changes import envelope_keys, parse_envelope, read_changes
 from clinweave.sources.contracts import struct_of
 from clinweave.sources.inventory import Server, inventory, read_delivered
+from clinweave.sources.ordered import Ordered
 from clinweave.sources.snapshots import Store
 from clinweave.sources.tables import Tables, load_seed
 from clinweave.streaming import jobs as J
@@ -771,6 +772,17 @@ def rc3_orphans(spark: SparkSession, root: str) -> DataFrame:
     return R.orphans(expected, _all_delivered(t, RECONCILED)).select("resource_type", "fhir_id")
 
 
+@query
+def o3_ordered(spark: SparkSession, root: str) -> DataFrame:
+    """O3: orphans by type and id, then the patients touched by a push, as an ordered table; each row with its place."""
+    t = clinical_tables(spark, root)
+    views = resource_tables(t, RECONCILED)
+    gone = R.orphans(R.expected_ids(views, RECONCILED), _all_delivered(t, RECONCILED)).select(F.lit("orphan").alias("list"), "resource_type", "fhir_id")
+    rows = D.pending_clinical(views, D.empty_state(spark), RECONCILED)
+    touched = rows.select(F.lit("touched").alias("list"), F.lit("Patient").alias("resource_type"), F.col("patient_fhir_id").alias("fhir_id")).distinct()
+    return Ordered.write(gone.unionByName(touched), ["list", "resource_type", "fhir_id"]).read()
+
+
 @query
 def rc4_flagged(spark: SparkSession, root: str) -> DataFrame:
     """RC4, RC5: one bundle per orphan, its document withdrawn; a second pass finds nothing to do."""
