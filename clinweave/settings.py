@@ -72,6 +72,9 @@ class Settings:
     max_delete_fraction: float | None = None
     # "snapshot" drops rows a model no longer yields; "upsert" only inserts and updates.
     materialize_mode: str = "snapshot"
+    # Build again only the resources of patients whose rows a sync changed, where that can be told. Needs the mirror and
+    # resource tables kept as snapshots.
+    incremental: bool = False
     # Also treat a changed document as pending when changed_at has not moved.
     use_content_hash: bool = False
 
