@@ -7,6 +7,7 @@ word's hash mixes the sum of its bytes' values. (A polynomial modulo 2**64 would
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -163,8 +164,21 @@ def shingle_sets(words: Words, size: int) -> list[np.ndarray]:
     return sets
 
 
+def give_back() -> None:
+    """Free memory goes back to the system: a worker lives through many stages and should not keep the peak of each."""
+    pa.default_memory_pool().release_unused()
+    if (trim := _malloc_trim()) is not None:
+        trim(0)
+
+
+@lru_cache(maxsize=1)
+def _malloc_trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that one piece holds at most `limit` bytes of text, or one longer text."""
+    give_back()  # what the worker's last task has left
     for batch in batches:
         at = batch.schema.get_field_index(column)
         sizes = np.diff(text_bytes(batch.column(at))[1])
@@ -175,4 +189,4 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(row + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(row, stop - row)
             row = stop
-    pa.default_memory_pool().release_unused()
+    give_back()
