@@ -42,7 +42,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def code_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of ids and decoded bytes."""
-    return encode_decode(docs, digest=True, remember=200_000)  # the workers also hold what earlier stages left
+    return encode_decode(docs, digest=True, remember=100_000)  # the workers also hold what earlier stages left
 
 
 STAGES = [
