@@ -34,7 +34,7 @@ from clinweave.plans.push import Outbox, push, retract, state_of
 from clinweave.session import scratch
 from clinweave.settings import Settings
 from clinweave.sources.access import clustered_store
-from clinweave.sources.changes import envelope_keys, parse_envelope, read_changes
+from clinweave.sources.changes import envelope_keys, member, parse_envelope, read_changes
 from clinweave.sources.contracts import struct_of
 from clinweave.sources.inventory import Server, inventory, read_delivered
 from clinweave.sources.ordered import Ordered
@@ -948,6 +948,29 @@ def st4_cdc_keys(spark: SparkSession, root: str) -> DataFrame:
     return keys.groupBy("mspp_code", "patient_id").agg(F.count("*").alias("changes"))
 
 
+@query
+def s10_changes(spark: SparkSession, root: str) -> DataFrame:
+    """Change files in no order, raw and unwrapped envelopes among them, read two files at a time; the row after each."""
+    events, k = base_table(spark, root, "events"), F.col("event_id")
+    row = F.struct(k, "user_id", "event_type")
+    gone, op = k % 10 == 9, F.when(k % 10 == 9, "d").otherwise("u")
+    source, at = F.struct(F.lit("events").alias("table")), 1000 * F.unix_seconds(F.col("ts").cast("timestamp"))
+    raw = F.to_json(F.struct(op.alias("op"), at.alias("ts_ms"), source.alias("source"), F.when(gone, row).alias("before"), F.when(~gone, row).alias("after")))
+    flat = F.to_json(
+        F.struct(k, "user_id", "event_type", op.alias("__op"), at.alias("__ts_ms"), F.lit("events").alias("__table"), gone.cast("string").alias("__deleted"))
+    )
+    store, last = Store(spark, scratch(spark, "changes")), None
+    for name, text, mine in (("raw", raw, k % 2 == 0), ("flat", flat, k % 2 == 1)):
+        folder = scratch(spark, name)
+        events.filter(mine).repartition(6, k).select(text.alias("value")).write.text(folder)
+        parsed = parse_envelope(read_changes(spark, folder, maxFilesPerTrigger="2"), wrapped=name == "raw")
+        rows = parsed.select(member("event_id").cast("bigint").alias("event_id"), "tbl", "op", "ts", member("event_type").alias("event_type"))
+        J.run_stream(rows, lambda batch, n, name=name: store.upsert(name, batch, ["event_id"], n + 1) and None, scratch(spark, "stream")).awaitTermination()
+        part = store.read(name, ["event_id"])
+        last = part if last is None else last.unionByName(part)
+    return last
+
+
 @query
 def st5_distinct_keys(spark: SparkSession, root: str) -> DataFrame:
     """ST5"""

@@ -1,4 +1,4 @@
-"""Keyed merges as DataFrame operators (K1, K2, MT3)."""
+"""One row per key as DataFrame operators (MT3, ST3)."""
 
 from __future__ import annotations
 
@@ -30,14 +30,3 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | s
     """One row per key, the last by `order`."""
     row, rank = F.struct(*df.columns), F.struct(*order)
     return df.groupBy(*[F.col(k).alias(f"_{k}") for k in key]).agg(F.max_by(row, rank).alias("_row")).select("_row.*")
-
-
-def upsert(base: DataFrame, changes: DataFrame, key: Sequence[str]) -> DataFrame:
-    """K1: changes replace or extend the base; one change per key."""
-    kept = base.join(changes.select(*key), list(key), "left_anti")
-    return kept.select(*base.columns).unionByName(changes)
-
-
-def delete_keys(base: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
-    """K2"""
-    return base.join(keys.select(*key), list(key), "left_anti").select(*base.columns)

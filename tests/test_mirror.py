@@ -188,3 +188,17 @@ def test_one_bad_table_does_not_stop_the_others(spark, store, tables):
     results, changed = sync_all(t, store, S, ["locations", "concept"])
     assert not changed
     assert mirror_tables(store)["locations"].count() == 1
+
+
+def test_source_tables_from_parquet(spark, clinic, tmp_path):
+    """Tables as Parquet under a root, typed by their contracts; a table that lacks a column is refused."""
+    from clinweave.sources.tables import source_tables
+
+    visits = clinic()["visit_openmrs"]
+    visits.withColumn("visit_id", F.col("visit_id").cast("int")).withColumn("uuid", F.rpad("uuid", 38, " ")).write.parquet(f"{tmp_path}/visit_openmrs")
+    visits.drop("uuid").write.parquet(f"{tmp_path}/encounter_openmrs")
+    t = source_tables(spark, str(tmp_path))
+    assert sorted((r["visit_id"], r["uuid"]) for r in t["visit_openmrs"].collect()) == [(9, "v-9"), (10, "v-10")]
+    assert dict(t["visit_openmrs"].dtypes)["visit_id"] == "bigint"
+    with pytest.raises(ValueError, match="missing columns"):
+        t["encounter_openmrs"]

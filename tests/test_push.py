@@ -142,6 +142,11 @@ def answering(refused=None, code=500):
     return lambda body: code if refused is None or refused in body else 200
 
 
+def test_the_text_of_a_refusal_is_kept():
+    assert D.send("{}", lambda body: (422, "no such code" + "x" * 500), 3) == "ERR 422: no such code" + "x" * 148
+    assert D.send("{}", lambda body: (201, "fine"), 3) == "201" and D.send("{}", lambda body: (400, ""), 3) == "ERR 400"
+
+
 def test_deliver_and_marks(spark):
     s = Settings(identity_page=1)
     bundles = D.identity_bundles(patients(spark, "a", "b", "c"), s)
