@@ -4,8 +4,8 @@ Words are counted first and named by 64-bit hashes that are checked to tell all
 one length after the other, and only those whose two shorter parts may be frequent: a filter of fixed size over the
 frequent parts says so, and lets some others pass, which costs room and nothing else.
 
-Each task counts in a HAT-trie: a trie over word names whose leaves are hash containers of the rest of each phrase; a
-container that outgrows BURST bursts into a node with one container per next word. When a trie holds more than BUDGET
+Each task counts in a HAT-trie: a shallow trie over word names whose leaves are hash containers of the rest of each
+phrase, first for a range of words; a container that outgrows BURST bursts into a node with one container per next word. When a trie holds more than BUDGET
 phrases, its largest subtrees leave as sorted runs, cut by prefix partition (a hash of the first two words, so that a word
 that begins a tenth of all phrases is spread). The runs of a prefix partition are merged in one task each.
 """
@@ -28,7 +28,7 @@ from clinweave.llm.words import _LOWER, Words, gram_hashes, mix, pieces, text_by
 from clinweave.session import ship_package
 
 #: Phrases in a container before it bursts, and in a task's trie before subtrees leave it.
-BURST, BUDGET = 4096, 600_000
+BURST, BUDGET = 16_384, 600_000
 #: Distinct words that a task counts before it passes them on.
 HELD = 300_000
 #: Words of text per prefix partition, which bounds what one merge holds.
@@ -213,82 +213,75 @@ def sieve(parts: DataFrame, count: int, bits: int | None = None) -> Sieve:
 
 
 class Node:
-    """One container, or node, per next word."""
+    """One container, or node, per next part of a phrase."""
 
     __slots__ = ("children",)
 
     def __init__(self):
-        self.children: dict[bytes, Node | dict[bytes, int]] = {}
+        self.children: dict[bytes, Node | Counter] = {}
 
 
 class HatTrie:
-    """Counts of phrases of one length, packed as eight bytes a word, below the languages they are in."""
+    """Counts of phrases of one length, packed as eight bytes a word, below the languages they are in.
+
+    The top node of a language branches by the first byte of the first word's name, so a container holds the phrases of a
+    range of words. A container that outgrows `burst` bursts by the first word, then by the second, and so on.
+    """
 
     def __init__(self, burst: int = BURST):
-        self.tops: dict[str, Node | dict[bytes, int]] = {}
+        self.tops: dict[str, Node] = {}
         self.burst, self.entries = burst, 0
 
-    def add(self, lang: str, counts: dict[bytes, int]) -> None:
-        top = self.tops.setdefault(lang, {})
-        for phrase, n in counts.items():
-            node, at, above, word = top, 0, None, b""
-            while type(node) is Node:
-                above, word = node, phrase[at : at + 8]
-                at += 8
-                node = above.children.get(word)
-                if node is None:
-                    node = above.children[word] = {}
-            rest = phrase[at:]
-            if rest in node:
-                node[rest] += n
-                continue
-            node[rest] = n
-            self.entries += 1
-            # the last word of a phrase has nothing to branch to
-            if len(node) > self.burst and len(rest) > 8:
-                new = self._burst(node)
-                if above is None:
-                    top = self.tops[lang] = new
-                else:
-                    above.children[word] = new
+    def add(self, lang: str, byte: bytes, rests: list[bytes]) -> None:
+        """Count phrases that begin with `byte`; `rests` are their other bytes, one entry per occurrence."""
+        self._put(self.tops.setdefault(lang, Node()), byte, rests, 7)
+
+    def _put(self, above: Node, name: bytes, rests: list[bytes], width: int) -> None:
+        below = above.children.get(name)
+        if type(below) is Node:
+            groups: dict[bytes, list[bytes]] = {}
+            for rest in rests:
+                groups.setdefault(rest[:width], []).append(rest[width:])
+            for then, more in groups.items():
+                self._put(below, then, more, 8)
+            return
+        if below is None:
+            below = above.children[name] = Counter()
+        before = len(below)
+        below.update(rests)
+        self.entries += len(below) - before
+        # the last word of a phrase has nothing to branch to
+        if len(below) > self.burst and len(rests[0]) > 8:
+            above.children[name] = self._burst(below, width)
 
     @staticmethod
-    def _burst(container: dict[bytes, int]) -> Node:
+    def _burst(container: Counter, width: int) -> Node:
         node = Node()
         for rest, n in container.items():
-            node.children.setdefault(rest[:8], {})[rest[8:]] = n
+            node.children.setdefault(rest[:width], Counter())[rest[width:]] = n
         return node
 
     @staticmethod
-    def _size(node: Node | dict) -> int:
-        return len(node) if type(node) is dict else sum(map(HatTrie._size, node.children.values()))
+    def _size(node: Node | Counter) -> int:
+        return sum(map(HatTrie._size, node.children.values())) if type(node) is Node else len(node)
 
     @staticmethod
-    def _items(node: Node | dict, prefix: bytes) -> Iterator[tuple[bytes, int]]:
-        if type(node) is dict:
-            yield from ((prefix + rest, n) for rest, n in node.items())
-        else:
+    def _items(node: Node | Counter, prefix: bytes, phrases: list[bytes], counts: list[int]) -> None:
+        if type(node) is Node:
             for word, child in node.children.items():
-                yield from HatTrie._items(child, prefix + word)
+                HatTrie._items(child, prefix + word, phrases, counts)
+        else:
+            phrases += [prefix + rest for rest in node]
+            counts += node.values()
 
     def take(self, keep: int) -> Iterator[tuple[str, list[bytes], list[int]]]:
         """Whole subtrees, the largest first, until at most `keep` phrases are left: (lang, phrases, counts)."""
-        subtrees = []
-        for lang, top in self.tops.items():
-            if type(top) is dict:
-                subtrees.append((len(top), lang, None))
-            else:
-                subtrees += [(self._size(child), lang, word) for word, child in top.children.items()]
+        subtrees = [(self._size(child), lang, word) for lang, top in self.tops.items() for word, child in top.children.items()]
         taken: dict[str, tuple[list, list]] = {}
         for size, lang, word in sorted(subtrees, key=lambda x: -x[0]):
             if self.entries <= keep:
                 break
-            top = self.tops[lang]
-            gone = self.tops.pop(lang) if word is None else top.children.pop(word)
-            phrases, counts = taken.setdefault(lang, ([], []))
-            for phrase, n in self._items(gone, word or b""):
-                phrases.append(phrase)
-                counts.append(n)
+            self._items(self.tops[lang].children.pop(word), word, *taken.setdefault(lang, ([], [])))
             self.entries -= size
         for lang, (phrases, counts) in taken.items():
             yield lang, phrases, counts
@@ -331,9 +324,15 @@ def _phrase_runs(size: int, seed: int, known, parts: int, budget: int, burst: in
                     mine = mine[may[mine] & may[mine + 1]]
                 if not len(mine):
                     continue
+                first = (ids[mine] >> np.uint64(56)).astype(np.uint8)
+                order = np.argsort(first, kind="stable")
+                mine, first, width = mine[order], first[order], 8 * size
                 packed = np.stack([ids[mine + k] for k in range(size)], 1).astype(">u8").tobytes()
-                width = 8 * size
-                trie.add(lang, Counter([packed[k : k + width] for k in range(0, len(packed), width)]))
+                rests = [packed[k + 1 : k + width] for k in range(0, len(packed), width)]
+                cuts = np.searchsorted(first, np.arange(257))
+                for byte in range(256):
+                    if cuts[byte] < cuts[byte + 1]:
+                        trie.add(lang, bytes([byte]), rests[cuts[byte] : cuts[byte + 1]])
             if trie.entries > budget:
                 for out in trie.take(budget // 2):
                     yield runs(*out, size, parts)

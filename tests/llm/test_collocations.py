@@ -78,10 +78,12 @@ def test_trie_counts_and_leaves_by_subtrees(burst, size):
     trie, want = HatTrie(burst), Counter()
     left: Counter = Counter()
     for _ in range(40):
-        chunk = Counter(bytes(8 * size - 1) + bytes([0]) if rnd.random() < 0.01 else b"".join(rnd.choice(b"abcd").to_bytes(8, "big") for _ in range(size)) for _ in range(200))
+        chunk = [bytes(8 * size) if rnd.random() < 0.01 else b"".join(rnd.choice(b"abcd").to_bytes(8, "big") for _ in range(size)) for _ in range(200)]
         lang = rnd.choice(["x", "y"])
-        trie.add(lang, chunk)
-        want.update({(lang, p): n for p, n in chunk.items()})
+        chunk = [rnd.choice([b"\x00", b"\x01"]) + p[1:] for p in chunk]
+        for byte in sorted({p[:1] for p in chunk}):
+            trie.add(lang, byte, [p[1:] for p in chunk if p[:1] == byte])
+        want.update((lang, p) for p in chunk)
         if trie.entries > 100:
             for lang, phrases, counts in trie.take(50):
                 left.update({(lang, p): n for p, n in zip(phrases, counts, strict=True)})
@@ -95,9 +97,19 @@ def test_trie_counts_and_leaves_by_subtrees(burst, size):
 
 def test_trie_bursts_by_word():
     trie = HatTrie(3)
-    trie.add("x", {a.to_bytes(8, "big") + b.to_bytes(8, "big"): 1 for a in range(3) for b in range(4)})
-    assert isinstance(trie.tops["x"], Node) and len(trie.tops["x"].children) == 3
-    assert all(isinstance(c, dict) for c in trie.tops["x"].children.values())
+    name = lambda k: k.to_bytes(8, "big")
+    trie.add("x", b"\x00", [(name(a) + name(b))[1:] for a in range(3) for b in range(1)])
+    assert isinstance(trie.tops["x"].children[b"\x00"], Counter)
+    trie.add("x", b"\x00", [(name(a) + name(b))[1:] for a in range(3) for b in range(5)] * 2)
+    below = trie.tops["x"].children[b"\x00"]
+    assert isinstance(below, Node) and trie.entries == 15
+    # the last word has a container of its own, however large
+    assert [below.children[name(a)[1:]] for a in range(3)] == [{name(b): 2 + (b == 0) for b in range(5)}] * 3
+    long = HatTrie(3)
+    long.add("x", b"\x00", [(name(1) + name(b) + name(c))[1:] for b in range(2) for c in range(3)])
+    word = long.tops["x"].children[b"\x00"].children[name(1)[1:]]
+    long.add("x", b"\x00", [(name(1) + name(7) + name(c))[1:] for c in range(2)])
+    assert isinstance(word, Counter) and isinstance(long.tops["x"].children[b"\x00"].children[name(1)[1:]], Node)
 
 
 def test_runs_are_sorted_and_complete():
