@@ -27,12 +27,9 @@ from clinweave.session import ship_package
 #: Bytes of listed strings that one array may hold; a longer list is joined by key instead.
 ARRAY_BYTES = 256_000_000
 
-#: Hosts that the packaged list blocks, with all their subdomains.
-BLOCKED_HOSTS = (
-    "adult-x.example.com", "adult-x.example.net", "adult-x.example.org", "ads-track.example.com",
-    "ads-track.example.net", "ads-track.example.org", "cheap-pills.example.com", "cheap-pills.example.net",
-    "cheap-pills.example.org", "free-bets.example.com", "free-bets.example.net", "free-bets.example.org",
-)
+#: Families of hosts that the packaged list blocks, with all their subdomains.
+BLOCKED_FAMILIES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+BLOCKED_HOSTS = tuple(f"{name}.example.{top}" for name in BLOCKED_FAMILIES for top in ("com", "net", "org"))
 
 
 def _after_scheme(url) -> F.Column:
