@@ -12,13 +12,14 @@ from clinweave.operators import delivery as D
 from clinweave.operators import reconcile as R
 from clinweave.operators.joins import lookup
 from clinweave.operators.upsert import dedup
+from clinweave.operators.validate import split_valid
 from clinweave.plans import mirror as M
 from clinweave.plans import push as P
 from clinweave.plans.materialize import one_per_key
 from clinweave.plans.models import MODELS, to_table
 from clinweave.settings import Settings
 from clinweave.sources.changes import envelope_keys
-from clinweave.sources.contracts import CONTRACTS
+from clinweave.sources.contracts import CONTRACTS, struct_of
 from tests.conftest import at
 from tests.test_push import bundles_of, clinical, patients, urls
 
@@ -100,18 +101,19 @@ def test_a_shelf_reads_a_group_not_a_bucket(spark, monkeypatch):
     assert len(seen) == 1 and seen[0] < 1000
 
 
-def test_rejects_are_looked_for_only_where_there_are_some(spark, store, tables, monkeypatch):
-    """c6, st1, st6: a table without bad rows is read once for its copy."""
-    read, keep = {}, store.overwrite
-    monkeypatch.setattr(store, "overwrite", lambda name, df, *more: read.update({name: "Repartition" in plan_of(df)}) or keep(name, df, *more))
+def test_rejects_of_a_typed_source_need_its_keys_alone(spark, store):
+    """c6, st1, st6: the second pass over a source reads the columns that can be bad."""
+    folder = tempfile.mkdtemp(prefix="run-")
     site, kinds = CONTRACTS["site"], "mspp_code string, name string"
-    good = spark.createDataFrame([(str(11100 + i), "n") for i in range(5)], kinds).repartition(2)
-    bad = good.unionByName(spark.createDataFrame([(None, "x"), (None, "y")], kinds))
-    assert M.sync_table(store, good, site, S) == M.SyncResult("site", "baseline", 5)
-    assert read == {"site": True, "site_rejects": False}
-    assert store.read("site_rejects").columns == ["row_key", "reason"] and store.read("site_rejects").count() == 0
-    assert M.sync_table(store, bad.withColumn("name", F.lit("new")), site, S, force_hash=True).skipped == 2
-    assert store.read("site_rejects").count() == 2
+    spark.createDataFrame([("11100", "n"), (None, "x"), ("11101", None)], kinds).write.mode("overwrite").parquet(folder)
+    typed = spark.read.parquet(folder)
+    _, rejects = split_valid(typed, site.schema, site.key, site.optional)
+    assert "ReadSchema: struct<mspp_code:string>" in rejects._jdf.queryExecution().sparkPlan().toString()
+    assert M.sync_table(store, typed, site, S) == M.SyncResult("site", "baseline", 2, 1)
+    assert [tuple(r) for r in store.read("site_rejects").collect()] == [("mspp_code=NULL", "mspp_code is null")]
+    text = spark.createDataFrame([("1", "a"), ("x", "b")], "id string, name string")
+    _, rejects = split_valid(text, struct_of("id bigint, name string"), ["id"])
+    assert [tuple(r) for r in rejects.collect()] == [("id=x", "id is not bigint")]
 
 
 def test_a_push_settles_no_documents(spark, store, monkeypatch):
