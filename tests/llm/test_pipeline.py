@@ -47,4 +47,4 @@ def test_run_equals_plain_stages(spark):
 
 
 def test_registry():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)] and set(ORACLE) < set(QUERIES)
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)] and set(ORACLE) < set(QUERIES)
