@@ -34,3 +34,12 @@ def test_skipped_rows_of_all_views(spark, clinic, monkeypatch):
     over(monkeypatch, clinic(**of_each_view(12)))
     assert sorted(r["resource_type"] for r in K.dl6_skip(spark, "").collect()) == sorted(CLINICAL_VIEWS)
     assert all(f"'{view}' as view" in ORACLE["dl6_skip"] for view in CLINICAL_VIEWS)
+
+
+def test_full_push_of_all_views(spark, clinic, monkeypatch):
+    """dl8: everything of a patient with a fingerprint is sent, whatever view it is in."""
+    print_of = [{"id": 1, "mspp_code": "11106", "patient_id": 11, "created_at": JAN}]
+    over(monkeypatch, clinic(**of_each_view(11), national_fingerprint_mapping=print_of))
+    sent = K.dl8_full_push(spark, "").collect()
+    assert {r["lead_url"] for r in sent} == {"Patient/p-a"} and len(sent) == 1 + len(CLINICAL_VIEWS)
+    assert all(f"'{view}' as view" in ORACLE["dl8_full_push"] for view in CLINICAL_VIEWS)
