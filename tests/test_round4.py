@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from clinweave.checks import queries as K
 from clinweave.checks.oracle import ORACLE
-from clinweave.settings import CLINICAL_VIEWS, Settings
+from clinweave.settings import CLINICAL_VIEWS, VIEW_KINDS, Settings
 from tests.conftest import at
 
 S = Settings()
@@ -43,3 +43,12 @@ def test_full_push_of_all_views(spark, clinic, monkeypatch):
     sent = K.dl8_full_push(spark, "").collect()
     assert {r["lead_url"] for r in sent} == {"Patient/p-a"} and len(sent) == 1 + len(CLINICAL_VIEWS)
     assert all(f"'{view}' as view" in ORACLE["dl8_full_push"] for view in CLINICAL_VIEWS)
+
+
+def test_inventory_of_all_views(spark, clinic, monkeypatch):
+    """rc2: what was delivered holds a resource of every type that has rows."""
+    over(monkeypatch, clinic(**of_each_view(11)))
+    held = K.rc2_delivered(spark, "").collect()
+    assert {r["resource_type"] for r in held} == set(VIEW_KINDS.values())
+    assert {(r["resource_type"], r["fhir_id"]) for r in held} >= {("Observation", "o-10"), ("Encounter", "v-9"), ("Encounter", "e-1")}
+    assert all(f"'{view}' as view" in ORACLE["rc2_delivered"] for view in CLINICAL_VIEWS)
