@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from clinweave.checks import queries as K
 from clinweave.checks.oracle import ORACLE
+from clinweave.operators import delivery as D
+from clinweave.plans.materialize import one_per_key
+from clinweave.plans.models import MODELS, to_table
 from clinweave.settings import CLINICAL_VIEWS, VIEW_KINDS, Settings
 from tests.conftest import at
+from tests.test_push import clinical, patients
+from tests.test_round3 import plan_of
 
 S = Settings()
 JAN = at("2026-01-02 09:00:00")
@@ -52,3 +57,15 @@ def test_inventory_of_all_views(spark, clinic, monkeypatch):
     assert {r["resource_type"] for r in held} == set(VIEW_KINDS.values())
     assert {(r["resource_type"], r["fhir_id"]) for r in held} >= {("Observation", "o-10"), ("Encounter", "v-9"), ("Encounter", "e-1")}
     assert all(f"'{view}' as view" in ORACLE["rc2_delivered"] for view in CLINICAL_VIEWS)
+
+
+def test_documents_are_dealt_out_once_for_their_bundles(spark):
+    """dl3, dl8, rc2, st6: rows and patients meet in one exchange of documents, without a join and without their entries."""
+    rows = clinical(spark, [("obs", "o2", "p1", JAN), ("obs", "o1", "p1", JAN), ("obs", "o9", "gone", JAN), ("obs", "o8", None, JAN)])
+    for how in ("left", "right"):
+        plan = plan_of(D._whole_groups(rows, patients(spark, "p1", "p2"), how, S))
+        assert "Join" not in plan and plan.count("RebalancePartitions") == 1
+        assert "entry" not in plan.partition("RebalancePartitions")[2]
+    left, right = (D._whole_groups(rows, patients(spark, "p1", "p2", None), how, S) for how in ("left", "right"))
+    got = [sorted((r["patient_fhir_id"] or "", len(r["rows"]), r["patient"] is not None) for r in df.collect()) for df in (left, right)]
+    assert got == [[("", 1, False), ("gone", 1, False), ("p1", 2, True)], [("", 0, True), ("p1", 2, True), ("p2", 0, True)]]
