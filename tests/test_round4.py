@@ -69,3 +69,21 @@ def test_documents_are_dealt_out_once_for_their_bundles(spark):
     left, right = (D._whole_groups(rows, patients(spark, "p1", "p2", None), how, S) for how in ("left", "right"))
     got = [sorted((r["patient_fhir_id"] or "", len(r["rows"]), r["patient"] is not None) for r in df.collect()) for df in (left, right)]
     assert got == [[("", 1, False), ("gone", 1, False), ("p1", 2, True)], [("", 0, True), ("p1", 2, True), ("p2", 0, True)]]
+
+
+def test_skipped_rows_need_no_documents(spark, clinic):
+    """dl6: who is skipped, and since when, is told without building, ranking or grouping a document."""
+    t = clinic()
+    views = {name: one_per_key(to_table(MODELS[name].build(t, S)), MODELS[name].grain) for name in ("patient", *CLINICAL_VIEWS)}
+    absent = D.skipped(D.clinical_groups(D.pending_clinical(views, D.empty_state(spark), S), views["patient"], S))
+    plan = plan_of(absent.select("resource_type", "fhir_id", "changed_at"))
+    assert "collect_list(struct(view" not in plan and "resourceType" not in plan
+    assert {r["fhir_id"] for r in absent.collect()} == {"v-10"}
+
+
+def test_a_row_is_chosen_with_its_document(spark):
+    """The part of the order that stands by itself agrees with the rest of the row, ties and unknown times included."""
+    rows = [("x", JAN, 1, "p", "b"), ("x", JAN, 1, "p", "a"), ("x", None, 0, "p", "0"), ("y", None, 2, None, "c"), ("y", None, 1, "q", "d"), (None, JAN, 1, "p", "e")]
+    df = spark.createDataFrame(rows, "fhir_id string, changed_at timestamp_ntz, obs_id int, patient_fhir_id string, resource string")
+    got = sorted(map(tuple, one_per_key(df, ["obs_id"]).collect()), key=str)
+    assert got == sorted([("x", JAN, 1, "p", "a"), ("y", None, 1, "q", "d"), (None, JAN, 1, "p", "e")], key=str)
