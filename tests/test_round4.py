@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from clinweave.checks import queries as K
 from clinweave.checks.oracle import ORACLE
 from clinweave.operators import delivery as D
 from clinweave.plans.materialize import one_per_key
 from clinweave.plans.models import MODELS, to_table
+from clinweave.plans.push import push
 from clinweave.settings import CLINICAL_VIEWS, VIEW_KINDS, Settings
 from tests.conftest import at
 from tests.test_push import clinical, patients
@@ -87,3 +90,29 @@ def test_a_row_is_chosen_with_its_document(spark):
     df = spark.createDataFrame(rows, "fhir_id string, changed_at timestamp_ntz, obs_id int, patient_fhir_id string, resource string")
     got = sorted(map(tuple, one_per_key(df, ["obs_id"]).collect()), key=str)
     assert got == sorted([("x", JAN, 1, "p", "a"), ("y", None, 1, "q", "d"), (None, JAN, 1, "p", "e")], key=str)
+
+
+def test_accepted_bundles_are_not_moved(spark):
+    """rc2, rc5, st1, st6: nothing meets the bundles where all were accepted, and the ids of the refused where few were not."""
+    bundles = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "bundle_id string, bundle string")
+    status = lambda *rows: spark.createDataFrame(list(rows), "bundle_id string, status string")
+    every = D.accepted(bundles, status(("a", "200"), ("b", "201"), (None, "200")))
+    assert "Join" not in plan_of(every) and sorted(r["bundle_id"] for r in every.collect()) == ["a", "b"]
+    some = D.accepted(bundles, status(("a", "200"), ("b", "ERR 422"), (None, "200")))
+    assert "strategy=broadcast" in plan_of(some) and [r["bundle_id"] for r in some.collect()] == ["a"]
+    assert D.accepted(bundles, status(("a", "DRY_RUN"), ("b", None), (None, "DRY_RUN"))).isEmpty()
+
+
+def test_marks_of_skipped_rows_are_made_before_they_meet_patients(spark):
+    """rc2, st1: the join that tells who has no patient moves digests, not documents."""
+    rows = clinical(spark, [("obs", "o1", "p1", JAN), ("obs", "o2", "gone", JAN), ("obs", "o3", None, JAN)])
+    absent = D.skipped_rows(rows, patients(spark, "p1"))
+    assert "md5" in plan_of(absent).partition("Join LeftAnti")[2] and sorted(r["fhir_id"] for r in absent.collect()) == ["o2", "o3"]
+
+
+def test_tables_and_log_are_written_in_little_room(spark, store):
+    """rc2, rc5: documents repeat themselves."""
+    views = {"patient": patients(spark, "p1").drop("view"), "encounter": clinical(spark, [("encounter", "e1", "p1", JAN)]).drop("view")}
+    push(store, views, Settings(clinical_views=("encounter",), global_views=()))
+    files = [f.name for f in Path(store.root).rglob("part-*.parquet")]
+    assert files and all(".zstd." in name for name in files)
